@@ -59,10 +59,7 @@ class Scope:
         name = F.col(column)
         if collation is None:
             return name.isin(list(self.stores))
-        matches = F.lit(False)
-        for store in self.stores:
-            matches = matches | (F.collate(name, collation) == F.lit(store))
-        return matches
+        return F.collate(name, collation).isin(list(self.stores))
 
     def apply(self, df: DataFrame, month: str = "order_month", store: str = "store_name") -> DataFrame:
         return df.filter(self.month_filter(month) & self.store_filter(store))
