@@ -483,8 +483,8 @@ SELECT *,
                  WHEN 2 THEN '1,' || lpad(CAST(q AS VARCHAR), 3, '0') WHEN 3 THEN '' WHEN 4 THEN '0'
                  ELSE CAST(q AS VARCHAR) END AS quantity_text,
        CASE form WHEN 0 THEN 'x1' WHEN 1 THEN '' ELSE CAST(p AS VARCHAR) END AS price_text,
-       strftime(bought, CASE zone WHEN 0 THEN '%Y-%m-%dT%H:%M:%SZ' WHEN 1 THEN '%Y-%m-%dT%H:%M:%S-07:00'
-                              WHEN 2 THEN '%Y-%m-%dT%H:%M:%S+05:30' ELSE '%Y-%m-%d %H:%M:%S' END) AS purchase_text,
+       strftime(bought, '%Y-%m-%d') || CASE zone WHEN 3 THEN ' ' ELSE 'T' END || strftime(bought, '%H:%M:%S')
+         || CASE zone WHEN 0 THEN 'Z' WHEN 1 THEN '-07:00' WHEN 2 THEN '+05:30' ELSE '' END AS purchase_text,
        CASE WHEN l_partkey % 13 = 0 THEN '' ELSE 'sku-' || CAST(l_partkey AS VARCHAR) END AS sku_text,
        CASE WHEN l_orderkey % 17 = 0 THEN '' ELSE CAST(l_orderkey AS VARCHAR) END AS order_text
 FROM report_text
