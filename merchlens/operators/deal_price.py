@@ -150,24 +150,28 @@ def deal_price_long(mapped: DataFrame) -> DataFrame:
 def deal_price_wide(mapped: DataFrame, months: list[dt.date]) -> DataFrame:
     """One row per style with a price column per month and whole-period totals.
 
-    Months are conditional sums in the same aggregation as the totals, so the
-    data is shuffled once.
+    Month prices are aggregated first and laid out from a map with at most one
+    entry per month; that stays flat where a conditional sum per month would put
+    hundreds of aggregates into one operator. Both sides of the join are grouped
+    by the style, so the join moves no rows.
     """
-    prices = []
-    for month in months:
-        label = month.strftime("%Y-%m")
-        here = F.col("order_month") == label
-        prices.append(
-            weighted_price(
-                F.sum(F.when(here, F.col("net_item_sales"))), F.sum(F.when(here, F.col("units")))
-            ).alias(label)
-        )
-    return mapped.groupBy(*STYLE).agg(
+    by_month = mapped.groupBy(*STYLE, "order_month").agg(
+        weighted_price(F.sum("net_item_sales"), F.sum("units")).alias("price")
+    )
+    prices = by_month.groupBy(*STYLE).agg(
+        F.map_from_entries(F.collect_list(F.struct("order_month", "price"))).alias("prices")
+    )
+    totals = mapped.groupBy(*STYLE).agg(
         F.sum("units").alias("total_units"),
-        *prices,
         weighted_price(F.sum("net_item_sales"), F.sum("units")).alias("total_weighted_price"),
         F.count_distinct("msku").alias("msku_count"),
         F.count_distinct(_local_sku()).alias("local_sku_count"),
+    )
+    labels = [m.strftime("%Y-%m") for m in months]
+    return totals.join(prices, STYLE).select(
+        *STYLE, "total_units",
+        *[F.try_element_at("prices", F.lit(label)).alias(label) for label in labels],
+        "total_weighted_price", "msku_count", "local_sku_count",
     ).orderBy("store_name", "style_no", "principal", "season", "category")
 
 

@@ -9,8 +9,6 @@ import re
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from merchlens.session import materialize
-
 # Store codes of the monthly file names.
 STORE_CODES = {"JQ": "JQ-US", "MT": "MT-US", "RKZ": "RKZ-US", "SY": "SY-US"}
 
@@ -143,23 +141,27 @@ def normalize_header(name: str) -> str:
     return re.sub(r"_+", "_", name).strip("_").lower()
 
 
-def number_rows(staged: DataFrame) -> DataFrame:
+def number_rows(rows: DataFrame) -> DataFrame:
     """``source_row_no``: the place of each row in its file, from 1.
 
-    ``staged`` carries ``_path``, ``_block`` and ``_place`` from the scan. Rows
-    of one block keep their order in ``_place``; the count of rows in the blocks
-    before gives the rest, so no file passes through one task.
+    ``rows`` carries ``_path``, ``_block`` and ``_place`` from the scan. Rows of
+    one block keep their order in ``_place``; the count of rows in the blocks
+    before gives the rest, so no file passes through one task and nothing is
+    written. The counts come from a scan of the same files cut into the same
+    blocks; a row that finds no count for its block fails the job.
     """
-    blocks = staged.groupBy("_path", "_block").agg(
+    blocks = rows.groupBy("_path", "_block").agg(
         F.min("_place").alias("_first"), F.count(F.lit(1)).alias("_rows")
     )
     before = Window.partitionBy("_path").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     offsets = blocks.select(
         "_path", "_block", "_first", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before")
     )
+    number = F.col("_place") - F.col("_first") + F.col("_before") + 1
+    checked = F.when(number >= 1, number).otherwise(F.raise_error(F.lit("file blocks changed during the read")))
     return (
-        staged.join(offsets, ["_path", "_block"])
-        .withColumn("source_row_no", F.col("_place") - F.col("_first") + F.col("_before") + 1)
+        rows.join(offsets, ["_path", "_block"], "left")
+        .withColumn("source_row_no", checked.cast("bigint"))
         .drop("_first", "_before", "_place", "_block")
     )
 
@@ -177,7 +179,7 @@ def text_lines(spark: SparkSession, paths: list[str] | str, charset: str, keep_b
     rows = spark.read.text(paths).select(line.alias("line"), *scan_position())
     if not keep_blank:
         rows = rows.filter(F.col("line") != "")
-    numbered = number_rows(materialize(rows, "text-lines"))
+    numbered = number_rows(rows)
     mark = F.when(F.col("source_row_no") == 1, F.ltrim(F.col("line"), F.lit("\ufeff")))
     return numbered.withColumn("line", F.coalesce(mark, "line"))
 

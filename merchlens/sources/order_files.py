@@ -15,7 +15,6 @@ from merchlens.functions.dates import month_label
 from merchlens.schemas import (
     BOOL_COLUMNS, DATE_COLUMNS, INT_COLUMNS, MONEY_COLUMNS, ORDER_HEADERS, ORDER_NOT_NULL, schema_of,
 )
-from merchlens.session import materialize
 from merchlens.sources import files
 
 BAD_ROW = "_bad_row"
@@ -71,7 +70,7 @@ def _read_strict_multiline(spark: SparkSession, paths: list[str] | str) -> DataF
         paths, schema=schema, sep="\t", header=True, enforceSchema=False, quote='"', escape='"',
         mode="PERMISSIVE", columnNameOfCorruptRecord=BAD_ROW, multiLine=True, encoding="UTF-8",
     )
-    numbered = files.number_rows(materialize(rows.select("*", *files.scan_position()), "order-report"))
+    numbered = files.number_rows(rows.select("*", *files.scan_position()))
     return numbered.withColumn("source_row_no", F.col("source_row_no") + 1)
 
 
@@ -150,7 +149,7 @@ def read_monthly(spark: SparkSession, path: str) -> tuple[DataFrame, list[str]]:
             path, schema=T.StructType([T.StructField(n, T.StringType()) for n in columns]), sep=delimiter,
             header=True, quote='"', escape='"', mode="PERMISSIVE", encoding=charset, multiLine=True,
         )
-        numbered = files.number_rows(materialize(rows.select("*", *files.scan_position()), "monthly-file"))
+        numbered = files.number_rows(rows.select("*", *files.scan_position()))
         rows = numbered.withColumn("source_row_no", F.col("source_row_no") + 1)
     else:
         lines = files.text_lines(spark, path, charset, keep_blank=False).filter("source_row_no > 1")

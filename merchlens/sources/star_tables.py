@@ -5,8 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from merchlens.functions import promo
 from merchlens.functions.dates import month_of, pacific_date
-from merchlens.operators.base import order_base
+from merchlens.functions.text import sku_key
+from merchlens.operators.base import order_base, valid_orders
+from merchlens.session import spread
 
 # Prices of these tables run from 18 to 103,000, so low price needs another limit.
 LOW_PRICE = "1000"
@@ -28,12 +31,16 @@ def order_lines(spark: SparkSession, folder: str) -> DataFrame:
     orders = table(spark, folder, "orders").join(
         customers, F.col("o_custkey") == F.col("c_custkey")
     ).select("o_orderkey", "o_orderdate", "o_orderstatus", "o_orderpriority", "r_name")
-    lines = table(spark, folder, "lineitem").join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+    items = table(spark, folder, "lineitem").select(
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
+        "l_discount", "l_returnflag", "l_linestatus",
+    )
+    lines = spread(items, "l_orderkey").join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
     money = "decimal(18,4)"
     discount = (
         F.col("l_extendedprice").cast("decimal(18,2)") * F.col("l_discount").cast("decimal(4,2)")
     ).cast(money)
-    promo = F.col("l_partkey") % 12
+    mark = F.col("l_partkey") % 12
     return lines.select(
         F.concat("r_name", F.lit("-US")).alias("store_name"),
         (F.col("o_orderdate") + F.make_dt_interval(hours=(F.col("o_orderkey") % 24).cast("int")))
@@ -50,10 +57,10 @@ def order_lines(spark: SparkSession, folder: str) -> DataFrame:
         F.when(F.col("l_suppkey") % 49 == 0, "CAD").otherwise("USD").alias("currency"),
         F.col("l_extendedprice").cast(money).alias("item_price"),
         F.when(F.col("l_returnflag") == "R", discount).alias("item_promotion_discount"),
-        F.when(promo == 0, F.concat(F.lit("US-mpc-"), F.col("l_partkey").cast("string")))
-        .when(promo == 1, "PLM-7788")
-        .when(promo == 2, "US Core Free Shipping")
-        .when(promo == 3, "Percentage Off 10").alias("promotion_ids"),
+        F.when(mark == 0, F.concat(F.lit("US-mpc-"), F.col("l_partkey").cast("string")))
+        .when(mark == 1, "PLM-7788")
+        .when(mark == 2, "US Core Free Shipping")
+        .when(mark == 3, "Percentage Off 10").alias("promotion_ids"),
         "l_suppkey", "l_linenumber", "l_partkey",
     )
 
@@ -64,10 +71,6 @@ def base(spark: SparkSession, folder: str, low_price: str = LOW_PRICE) -> DataFr
 
 def _flagged(spark: SparkSession, folder: str) -> DataFrame:
     """Valid lines with flags and the keys the views below derive from."""
-    from merchlens.functions import promo
-    from merchlens.functions.text import sku_key
-    from merchlens.operators.base import valid_orders
-
     return valid_orders(order_lines(spark, folder)).withColumns({
         "order_date": pacific_date("purchase_date_utc"),
         "order_month": month_of(pacific_date("purchase_date_utc")),

@@ -33,20 +33,18 @@ class Warehouse:
     def append(self, table: str, df: DataFrame) -> None:
         self._writer(conform(df, table), table).mode("append").parquet(self.path(table))
 
-    def replace_partitions(self, table: str, df: DataFrame, in_scope: Column) -> DataFrame:
+    def replace_partitions(self, table: str, df: DataFrame, in_scope: Column) -> None:
         """Make the partitions matching ``in_scope`` hold exactly the rows of ``df``.
 
-        The rows are staged first. Dynamic overwrite leaves a partition alone
-        when the new rows have none for it, so partitions of the scope without
-        new rows are removed after the write. Returns the staged rows.
+        ``df`` may read the table itself: the writer stages its files and swaps
+        them in when every task is done. Dynamic overwrite leaves a partition
+        alone when the new rows have none for it, so partitions of the scope
+        that were not rewritten are removed afterwards.
         """
-        keys = PARTITIONS[table]
-        staged = materialize(conform(df, table), table)
         before = self.partitions(table)
-        self._overwrite(table, staged)
+        self._overwrite(table, conform(df, table))
         if before is not None:
-            self._drop(before.filter(in_scope), staged, keys)
-        return staged
+            self._drop_unwritten(table, before.filter(in_scope))
 
     def merge(self, table: str, keep: DataFrame, gone: DataFrame, new: DataFrame) -> DataFrame:
         """Swap the old rows ``gone`` for ``new`` by rewriting only the partitions they touch.
@@ -55,25 +53,22 @@ class Warehouse:
         """
         keys = PARTITIONS[table]
         new = materialize(conform(new, table), f"{table}-new")
+        before = self.partitions(table)
+        if before is None:
+            self._overwrite(table, new)
+            return new
         touched = materialize(
-            gone.select(*keys).union(new.select(*keys)).distinct(), f"{table}-touched"
-        )
-        kept = conform(keep, table).join(
-            touched.toDF(*[f"_t_{k}" for k in keys]),
-            [F.col(k).eqNullSafe(F.col(f"_t_{k}")) for k in keys],
-            "left_semi",
+            gone.select(*keys).union(new.select(*keys)).distinct().toDF(*[f"_t_{k}" for k in keys]),
+            f"{table}-touched",
         )
-        staged = materialize(kept.unionByName(new), table)
-        before = self.partitions(table)
-        self._overwrite(table, staged)
-        if before is not None:
-            same = [F.col(k).eqNullSafe(F.col(f"_t_{k}")) for k in keys]
-            in_scope = before.join(touched.toDF(*[f"_t_{k}" for k in keys]), same, "left_semi")
-            self._drop(in_scope, staged, keys)
+        same = [F.col(k).eqNullSafe(F.col(f"_t_{k}")) for k in keys]
+        kept = conform(keep, table).join(touched, same, "left_semi")
+        self._overwrite(table, kept.unionByName(new))
+        self._drop_unwritten(table, before.join(touched, same, "left_semi"))
         return new
 
     def partitions(self, table: str) -> DataFrame | None:
-        """Folder and key values of every partition, from a listing (no data is read)."""
+        """Folder, one file name and the key values of every partition, from a listing (no data is read)."""
         if not self.exists(table):
             return None
         keys = PARTITIONS[table]
@@ -84,10 +79,12 @@ class Warehouse:
         for status in self._fs(root).globStatus(pattern):
             folder = status.getPath().toString()
             parts = [p.split("=", 1)[1] for p in folder.split("/")[-len(keys):]]
-            rows.append((folder, *[None if p == "__HIVE_DEFAULT_PARTITION__" else unescape(p) for p in parts]))
+            values = [None if p == "__HIVE_DEFAULT_PARTITION__" else unescape(p) for p in parts]
+            rows.append((folder, self._any_file(status.getPath()), *values))
         types = {f.name: f.dataType.simpleString() for f in schema_of(table)}
-        text = self.spark.createDataFrame(rows, ", ".join(["_folder string", *[f"{k} string" for k in keys]]))
-        return text.select("_folder", *[F.col(k).cast(types[k]).alias(k) for k in keys])
+        layout = ", ".join(["_folder string", "_file string", *[f"{k} string" for k in keys]])
+        text = self.spark.createDataFrame(rows, layout)
+        return text.select("_folder", "_file", *[F.col(k).cast(types[k]).alias(k) for k in keys])
 
     def _overwrite(self, table: str, staged: DataFrame) -> None:
         writer = self._writer(staged, table).mode("overwrite")
@@ -101,13 +98,18 @@ class Warehouse:
         # The hint lets AQE cut a large partition into files of advisory size.
         return df.hint("rebalance", *keys).write.partitionBy(*keys)
 
-    def _drop(self, old: DataFrame, staged: DataFrame, keys: list[str]) -> None:
-        written = staged.select(*keys).distinct().toDF(*[f"_w_{k}" for k in keys])
-        same = [F.col(k).eqNullSafe(F.col(f"_w_{k}")) for k in keys]
+    def _drop_unwritten(self, table: str, old: DataFrame) -> None:
+        """Delete those of the partitions ``old`` that still hold a file from before."""
         # One row per partition folder of the scope.
-        for row in old.join(written, same, "left_anti").select("_folder").collect():
+        for row in old.select("_folder", "_file").collect():
             folder = self._hadoop_path(row[0])
-            self._fs(folder).delete(folder, True)
+            if row[1] and self._fs(folder).exists(self._hadoop_path(f"{row[0]}/{row[1]}")):
+                self._fs(folder).delete(folder, True)
+
+    def _any_file(self, folder) -> str | None:
+        """Name of one file; an overwrite replaces every file of a partition."""
+        found = self._fs(folder).listStatusIterator(folder)
+        return found.next().getPath().getName() if found.hasNext() else None
 
     def _hadoop_path(self, text: str):
         return self.spark._jvm.org.apache.hadoop.fs.Path(text)
