@@ -88,7 +88,7 @@ TABLES = {
         "store_name string, report_date date, sku string, asin string, ad_type string, orders bigint, "
         "sales decimal(18,4), cost decimal(18,4), clicks bigint, impressions bigint"
     ),
-    "listing": "店铺 string, 店铺id string, MSKU string, SKU string, 负责人 string, 状态 int",
+    "listing": "`店铺` string, `店铺id` string, MSKU string, SKU string, `负责人` string, `状态` int",
     "lxpm_product_category_snapshot": (
         "sku string, product_name string, spu string, category_name string, category_path string, "
         "custom_fields_json string"
