@@ -62,7 +62,7 @@ def source_paths(spark: SparkSession, folder: str) -> DataFrame:
 
 def performance_pages(spark: SparkSession, folder: str) -> DataFrame:
     """API pages of at most 50 products each; some products come again on a later page."""
-    perf = star.performance_monthly(spark, folder)
+    perf = star.performance_monthly(star.order_lines(spark, folder))
     part = F.regexp_extract("msku", r"(\d+)$", 1).cast("bigint")
     sid = (F.array_position(F.array(*[F.lit(s) for s in STORES]), F.col("store_name")) + 100).cast("bigint")
     rows = perf.withColumns({"part": part, "sid": sid})

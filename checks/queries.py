@@ -51,28 +51,33 @@ def query(build: Query) -> Query:
 
 # --- shared inputs -----------------------------------------------------------
 
+def _stored_lines(spark, folder):
+    """The raw order table, written once where a query reads it more than once."""
+    return materialize(star.order_lines(spark, folder), "order-lines")
+
+
 def _base(spark, folder):
-    return star.base(spark, folder)
+    return star.base(star.order_lines(spark, folder))
 
 
-def _demand_monthly(spark, folder):
-    return demand.ad_demand_monthly(star.performance_monthly(spark, folder))
+def _demand_monthly(lines):
+    return demand.ad_demand_monthly(star.performance_monthly(lines))
 
 
-def _demand_daily(spark, folder):
-    return demand.ad_demand_daily(star.ad_spend_daily(spark, folder))
+def _demand_daily(lines):
+    return demand.ad_demand_daily(star.ad_spend_daily(lines))
 
 
 def _result(spark, folder, name):
-    lines = _base(spark, folder)
-    rules = R[name]
+    lines = _stored_lines(spark, folder)
+    valid, rules = star.base(lines), R[name]
     if rules.allocator == "store_month":
-        chosen = allocate.allocate_store_month(lines, _demand_monthly(spark, folder), rules.version)
+        chosen = allocate.allocate_store_month(valid, _demand_monthly(lines), rules.version)
     elif rules.allocator == "hybrid":
-        chosen = allocate.allocate_hybrid(lines, _demand_daily(spark, folder), rules.version)
+        chosen = allocate.allocate_hybrid(valid, materialize(_demand_daily(lines), "demand"), rules.version)
     else:
-        chosen = allocate.allocate_day_sku(lines, _demand_daily(spark, folder), rules.version)
-    return classify.classify(lines, chosen, rules)
+        chosen = allocate.allocate_day_sku(valid, _demand_daily(lines), rules.version)
+    return classify.classify(valid, chosen, rules)
 
 
 def _monthly(spark, folder, name):
@@ -87,7 +92,8 @@ def _stored_monthly(spark, folder, name="v5"):
 def _mapped(spark, folder):
     msku = deal_price.msku_month(star.order_lines(spark, folder), SCOPE)
     listing = deal_price.best_listing(star.listing(spark, folder))
-    return deal_price.map_styles(msku, listing, deal_price.product_dims(star.product_snapshot(spark, folder)))
+    dims = deal_price.product_dims(star.product_snapshot(spark, folder))
+    return materialize(deal_price.map_styles(msku, listing, dims), "mapped-msku")
 
 
 # --- valid lines and base ------------------------------------------------------
@@ -120,12 +126,12 @@ def scope_inference(spark, folder):
 
 @query
 def ad_demand_daily(spark, folder):
-    return _demand_daily(spark, folder)
+    return _demand_daily(star.order_lines(spark, folder))
 
 
 @query
 def ad_demand_monthly(spark, folder):
-    return _demand_monthly(spark, folder)
+    return _demand_monthly(star.order_lines(spark, folder))
 
 
 @query
@@ -133,34 +139,44 @@ def order_sku_candidates(spark, folder):
     return allocate.order_sku_candidates(_base(spark, folder))
 
 
+def _day_inputs(spark, folder):
+    lines = _stored_lines(spark, folder)
+    return star.base(lines), materialize(_demand_daily(lines), "demand")
+
+
+def _month_inputs(spark, folder):
+    lines = _stored_lines(spark, folder)
+    return star.base(lines), _demand_monthly(lines)
+
+
 @query
 def day_sku_rank(spark, folder):
-    return allocate.day_sku_rank(_base(spark, folder), _demand_daily(spark, folder))
+    return allocate.day_sku_rank(*_day_inputs(spark, folder))
 
 
 @query
 def ad_alloc_day_sku(spark, folder):
-    return allocate.allocate_day_sku(_base(spark, folder), _demand_daily(spark, folder))
+    return allocate.allocate_day_sku(*_day_inputs(spark, folder))
 
 
 @query
 def ad_alloc_store_month(spark, folder):
-    return allocate.allocate_store_month(_base(spark, folder), _demand_monthly(spark, folder))
+    return allocate.allocate_store_month(*_month_inputs(spark, folder))
 
 
 @query
 def ad_alloc_store_month_sorted(spark, folder):
-    return allocate.allocate_store_month(_base(spark, folder), _demand_monthly(spark, folder), method="sorted")
+    return allocate.allocate_store_month(*_month_inputs(spark, folder), method="sorted")
 
 
 @query
 def ad_alloc_hybrid(spark, folder):
-    return allocate.allocate_hybrid(_base(spark, folder), _demand_daily(spark, folder))
+    return allocate.allocate_hybrid(*_day_inputs(spark, folder))
 
 
 @query
 def ad_alloc_hybrid_sorted(spark, folder):
-    return allocate.allocate_hybrid(_base(spark, folder), _demand_daily(spark, folder), method="sorted")
+    return allocate.allocate_hybrid(*_day_inputs(spark, folder), method="sorted")
 
 
 # --- classification and rollup -----------------------------------------------
@@ -237,8 +253,9 @@ def rule_version_check(spark, folder):
 # --- audits -----------------------------------------------------------------------
 
 def _audit(spark, folder):
-    lines, target = _base(spark, folder), _demand_monthly(spark, folder)
-    return audit.allocation_audit(target, lines, allocate.allocate_store_month(lines, target))
+    valid, target = _month_inputs(spark, folder)
+    target = materialize(target, "demand")
+    return audit.allocation_audit(target, valid, allocate.allocate_store_month(valid, target))
 
 
 @query
@@ -253,8 +270,8 @@ def audit_status(spark, folder):
 
 @query
 def hybrid_audit(spark, folder):
-    lines, target = _base(spark, folder), _demand_daily(spark, folder)
-    return audit.hybrid_audit(target, allocate.allocate_hybrid(lines, target))
+    valid, target = _day_inputs(spark, folder)
+    return audit.hybrid_audit(target, allocate.allocate_hybrid(valid, target))
 
 
 # --- source reports ----------------------------------------------------------------
@@ -473,7 +490,8 @@ def ingest_orders_stream(spark, folder):
 # --- product performance ---------------------------------------------------------------
 
 def _parsed(spark, folder):
-    return performance_pages.parse_pages(derived.performance_pages(spark, folder))
+    landed = materialize(derived.performance_pages(spark, folder), "pages")
+    return performance_pages.parse_pages(landed)
 
 
 def _flat(spark, folder):
@@ -500,7 +518,7 @@ def performance_load_stats(spark, folder):
 
 @query
 def pending_tasks(spark, folder):
-    performance = star.performance_monthly(spark, folder)
+    performance = materialize(star.performance_monthly(star.order_lines(spark, folder)), "performance")
     stores = performance.select("store_name").distinct().withColumn("sid", F.length("store_name").cast("bigint"))
     log = performance.select(
         "report_month", F.length("store_name").cast("bigint").alias("sid"),

@@ -27,36 +27,36 @@ def order_sku_candidates(base: DataFrame) -> DataFrame:
     )
 
 
-def day_sku_rank(base: DataFrame, demand_daily: DataFrame, method: str = "auto") -> DataFrame:
-    """Candidates on days with demand for their SKU, ranked within store, day and SKU."""
-    keys = demand_daily.select("store_name", F.col("report_date").alias("order_date"), "sku_key")
-    wanted = order_sku_candidates(base).join(keys, ["store_name", "order_date", "sku_key"], "left_semi")
+def _ranked_by_day(base: DataFrame, demand_daily: DataFrame, method: str) -> DataFrame:
+    # Demand is joined before the ranking: it drops what has none, and stays on the row.
+    demand = demand_daily.filter("ad_orders_raw > 0").select(
+        "store_name", F.col("report_date").alias("order_date"), "sku_key",
+        "sp_orders", "sd_orders", "ad_orders_raw",
+    )
+    wanted = order_sku_candidates(base).join(demand, ["store_name", "order_date", "sku_key"])
     return rank_in_group(
         wanted, ["store_name", "order_date", "sku_key"], ["first_purchase_date_utc", "amazon_order_id"],
         method=method,
     )
 
 
+def day_sku_rank(base: DataFrame, demand_daily: DataFrame, method: str = "auto") -> DataFrame:
+    """Candidates on days with demand for their SKU, ranked within store, day and SKU."""
+    return _ranked_by_day(base, demand_daily, method).drop("sp_orders", "sd_orders", "ad_orders_raw")
+
+
 def allocate_day_sku(
     base: DataFrame, demand_daily: DataFrame, version: str = "v1_20260727", method: str = "auto"
 ) -> DataFrame:
     """Every candidate of a demanded day-SKU with a flag for those within the demand."""
-    demand = demand_daily.filter("ad_orders_raw > 0").select(
-        "store_name", F.col("report_date").alias("order_date"), "sku_key",
-        "sp_orders", "sd_orders", "ad_orders_raw",
-    )
-    ranked = day_sku_rank(base, demand_daily, method)
-    joined = ranked.join(demand, ["store_name", "order_date", "sku_key"])
-    return joined.select(
-        *CANDIDATE, "first_purchase_date_utc", "candidate_rank", "candidate_orders",
-        "sp_orders", "sd_orders", "ad_orders_raw",
-        F.least("ad_orders_raw", "candidate_orders").alias("allocated_ad_orders"),
-        F.greatest(F.col("ad_orders_raw") - F.col("candidate_orders"), F.lit(0)).alias("unallocated_ad_orders"),
-        (F.col("candidate_rank") <= F.col("ad_orders_raw")).alias("estimated_ad_flag"),
-        F.lit(None).cast("string").alias("allocation_level"),
-        F.lit(None).cast("string").alias("allocation_confidence"),
-        F.lit(version).alias("allocation_version"),
-    ).select(*ALLOCATION_COLUMNS)
+    return _ranked_by_day(base, demand_daily, method).withColumns({
+        "allocated_ad_orders": F.least("ad_orders_raw", "candidate_orders"),
+        "unallocated_ad_orders": F.greatest(F.col("ad_orders_raw") - F.col("candidate_orders"), F.lit(0)),
+        "estimated_ad_flag": F.col("candidate_rank") <= F.col("ad_orders_raw"),
+        "allocation_level": F.lit(None).cast("string"),
+        "allocation_confidence": F.lit(None).cast("string"),
+        "allocation_version": F.lit(version),
+    }).select(*ALLOCATION_COLUMNS)
 
 
 def allocate_store_month(
@@ -70,18 +70,13 @@ def allocate_store_month(
         "store_name", "order_month", "ad_order_quantity"
     )
     # Candidates of store-months without a target leave before the ranking.
-    wanted = order_sku_candidates(base).join(
-        demand.select("store_name", "order_month"), ["store_name", "order_month"], "left_semi"
-    )
+    wanted = order_sku_candidates(base).join(demand, ["store_name", "order_month"])
     ranked = rank_in_group(
         wanted, ["store_name", "order_month"],
         ["first_purchase_date_utc", "amazon_order_id", "sku_key", "order_date"],
         method=method,
     )
-    chosen = ranked.join(demand, ["store_name", "order_month"]).filter(
-        F.col("candidate_rank") <= F.col("ad_order_quantity")
-    )
-    return chosen.withColumns({
+    return ranked.filter(F.col("candidate_rank") <= F.col("ad_order_quantity")).withColumns({
         "sp_orders": F.lit(0).cast("long"),
         "sd_orders": F.lit(0).cast("long"),
         "ad_orders_raw": F.lit(1).cast("long"),
@@ -190,8 +185,8 @@ def allocate_hybrid(
     ).filter("store_residual > 0")
     rest = (
         placed.filter(F.col("level").isNull())
-        .join(store_month.select("store_name", "order_month"), ["store_name", "order_month"], "left_semi")
         .select(*CANDIDATE, "first_purchase_date_utc")
+        .join(store_month, ["store_name", "order_month"])
     )
     by_store = (
         rank_in_group(
@@ -199,7 +194,6 @@ def allocate_hybrid(
             ["first_purchase_date_utc", "amazon_order_id", "sku_key", "order_date"],
             method=method,
         )
-        .join(store_month, ["store_name", "order_month"])
         .filter(F.col("candidate_rank") <= F.col("store_residual"))
         .withColumn("level", F.lit(STORE_MONTH))
         .select(*by_sku.columns)

@@ -61,17 +61,6 @@ def drop_scratch(spark: SparkSession) -> None:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Give every core work when a small input sits in fewer pieces than there are cores.
-
-    An input in many pieces, as on a cluster, is returned as it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
-        return df
-    return df.repartition(cores, *keys)
-
-
 def input_bytes(df: DataFrame) -> int | None:
     """Bytes of the relations ``df`` reads, or None where the session cannot tell."""
     try:

@@ -9,7 +9,6 @@ from merchlens.functions import promo
 from merchlens.functions.dates import month_of, pacific_date
 from merchlens.functions.text import sku_key
 from merchlens.operators.base import order_base, valid_orders
-from merchlens.session import spread
 
 # Prices of these tables run from 18 to 103,000, so low price needs another limit.
 LOW_PRICE = "1000"
@@ -35,7 +34,8 @@ def order_lines(spark: SparkSession, folder: str) -> DataFrame:
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
         "l_discount", "l_returnflag", "l_linestatus",
     )
-    lines = spread(items, "l_orderkey").join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+    # Two tables that grow together: sort-merge, whatever an estimate says of either.
+    lines = items.hint("merge").join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
     money = "decimal(18,4)"
     discount = (
         F.col("l_extendedprice").cast("decimal(18,2)") * F.col("l_discount").cast("decimal(4,2)")
@@ -65,24 +65,23 @@ def order_lines(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def base(spark: SparkSession, folder: str, low_price: str = LOW_PRICE) -> DataFrame:
-    return order_base(order_lines(spark, folder), low_price=low_price)
+def base(lines: DataFrame, low_price: str = LOW_PRICE) -> DataFrame:
+    return order_base(lines, low_price=low_price)
 
 
-def _flagged(spark: SparkSession, folder: str) -> DataFrame:
+def _flagged(lines: DataFrame) -> DataFrame:
     """Valid lines with flags and the keys the views below derive from."""
-    return valid_orders(order_lines(spark, folder)).withColumns({
+    return valid_orders(lines).withColumns({
         "order_date": pacific_date("purchase_date_utc"),
-        "order_month": month_of(pacific_date("purchase_date_utc")),
         "sku_key": sku_key("sku"),
         "onsite": promo.onsite_promotion_flag(),
     })
 
 
-def performance_monthly(spark: SparkSession, folder: str) -> DataFrame:
+def performance_monthly(lines: DataFrame) -> DataFrame:
     """Product performance per month, store and MSKU; every fourth supplier's line is an ad order."""
-    return _flagged(spark, folder).groupBy(
-        F.col("order_month").alias("report_month"), "store_name", F.col("sku_key").alias("msku")
+    return _flagged(lines).groupBy(
+        month_of("order_date").alias("report_month"), "store_name", F.col("sku_key").alias("msku")
     ).agg(
         F.count_distinct("amazon_order_id").alias("order_items"),
         F.count_if(F.col("l_suppkey") % 4 == 0).alias("ad_order_quantity"),
@@ -92,13 +91,13 @@ def performance_monthly(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def ad_spend_daily(spark: SparkSession, folder: str) -> DataFrame:
+def ad_spend_daily(lines: DataFrame) -> DataFrame:
     """One ad row per line and ad type; some fall a day late, so levels two and three get work."""
     kinds = F.array_compact(F.array(
         F.when(F.col("l_linenumber") % 2 == 0, F.lit("SP")),
         F.when(F.col("l_suppkey") % 3 == 0, F.lit("SD")),
     ))
-    return _flagged(spark, folder).select(
+    return _flagged(lines).select(
         "store_name",
         F.date_add("order_date", (F.col("l_suppkey") % 2).cast("int")).alias("report_date"),
         "sku",

@@ -316,8 +316,9 @@ def test_invariants_on_the_tables(spark, folder):
     from merchlens.session import materialize
     from merchlens.sources import star_tables as star
 
-    lines = materialize(star.base(spark, folder))
-    target = materialize(demand.ad_demand_monthly(star.performance_monthly(spark, folder)))
+    stored = materialize(star.order_lines(spark, folder))
+    lines = materialize(star.base(stored))
+    target = materialize(demand.ad_demand_monthly(star.performance_monthly(stored)))
     rules = RULES["v5"].with_low_price(star.LOW_PRICE)
     chosen = materialize(allocate.allocate_store_month(lines, target))
     result = classify.classify(lines, chosen, rules)
