@@ -18,6 +18,7 @@ from merchlens.schemas import (
 from merchlens.sources import files
 
 BAD_ROW = "_bad_row"
+BAD_HEADER = "_bad_header"
 
 # Accepted source names per target column where they differ.
 ALIASES = {
@@ -30,9 +31,9 @@ ALIASES = {
 def read_strict(spark: SparkSession, paths: list[str] | str, multiline: bool = False) -> DataFrame:
     """Raw report rows with record numbers; rows of another width are kept and marked.
 
-    A header that differs from the 39 expected names fails the read. Files are
-    split between tasks; ``multiline`` (line breaks inside quotes) reads each
-    file in one task instead.
+    A header row is left out when it has the 39 expected names, and kept and
+    marked in ``_bad_header`` when not. Files are split between tasks;
+    ``multiline`` (line breaks inside quotes) reads each file in one task.
     """
     if multiline:
         return _read_strict_multiline(spark, paths)
@@ -41,27 +42,15 @@ def read_strict(spark: SparkSession, paths: list[str] | str, multiline: bool = F
     same = F.col(f"row.{BAD_ROW}").isNull()
     for name in ORDER_HEADERS:
         same = same & F.coalesce(text.strip(f"row.`{name}`") == name, F.lit(False))
-    wrong = rows.filter((F.col("source_row_no") == 1) & ~same).select("_path", "line").limit(5).collect()
-    if wrong:
-        raise HeaderMismatch("; ".join(_header_problem(r[0], r[1]) for r in wrong))
+    is_header = F.col("source_row_no") == 1
     # A blank line is a row without columns.
     bad = F.when(F.col("line") == "", F.lit("")).otherwise(F.col(f"row.{BAD_ROW}"))
-    return rows.filter("source_row_no > 1").select(
-        *[F.col(f"row.`{h}`").alias(h) for h in ORDER_HEADERS], bad.alias(BAD_ROW), "_path", "source_row_no",
+    return rows.filter(~(is_header & same)).select(
+        *[F.col(f"row.`{h}`").alias(h) for h in ORDER_HEADERS], bad.alias(BAD_ROW),
+        F.when(is_header, F.col("line")).alias(BAD_HEADER), "_path", "source_row_no",
     )
 
 
-class HeaderMismatch(ValueError):
-    """A report does not have the expected header."""
-
-
-def _header_problem(path: str, line: str) -> str:
-    found = [n.strip() for n in line.split("\t")]
-    missing = [h for h in ORDER_HEADERS if h not in found]
-    extra = [n for n in found if n not in ORDER_HEADERS]
-    return f"{path}: header lacks {missing}, has extra {extra}, {len(found)} columns"
-
-
 def _read_strict_multiline(spark: SparkSession, paths: list[str] | str) -> DataFrame:
     schema = T.StructType(
         [T.StructField(h, T.StringType()) for h in ORDER_HEADERS] + [T.StructField(BAD_ROW, T.StringType())]
@@ -71,14 +60,23 @@ def _read_strict_multiline(spark: SparkSession, paths: list[str] | str) -> DataF
         mode="PERMISSIVE", columnNameOfCorruptRecord=BAD_ROW, multiLine=True, encoding="UTF-8",
     )
     numbered = files.number_rows(rows.select("*", *files.scan_position()))
-    return numbered.withColumn("source_row_no", F.col("source_row_no") + 1)
+    return numbered.withColumns({
+        "source_row_no": F.col("source_row_no") + 1, BAD_HEADER: F.lit(None).cast("string"),
+    })
 
 
 def convert_strict(raw: DataFrame) -> DataFrame:
     """Typed columns and ``reject_reasons`` (empty for a good row)."""
     order_id = text.strip("amazon-order-id")
     columns: dict[str, Column] = {}
+    found = F.transform(F.split(BAD_HEADER, "\t"), text.strip)
+    expected = F.array(*[F.lit(h) for h in ORDER_HEADERS])
     reasons = [
+        F.when(F.col(BAD_HEADER).isNotNull(), F.concat(
+            F.lit("header lacks ["), F.array_join(F.array_except(expected, found), ", "),
+            F.lit("], has extra ["), F.array_join(F.array_except(found, expected), ", "),
+            F.lit("], columns: "), F.size(found).cast("string"),
+        )),
         F.when(F.col(BAD_ROW).isNotNull(), F.lit("wrong number of columns")),
         F.when(order_id == "", F.lit("amazon-order-id is empty")),
     ]

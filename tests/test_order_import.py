@@ -45,7 +45,7 @@ def test_strict_header_and_width_are_checked(spark, tmp_path):
     bad = tmp_path / "bad"
     bad.mkdir()
     write_report(bad / "SY-2025-01.txt", [report_line().split("\t", 1)[1]], header=ORDER_HEADERS[1:])
-    with pytest.raises(Exception, match="header|Header"):
+    with pytest.raises(oi.ImportRefused, match=r"row 1: header lacks \[amazon-order-id\], has extra \[\], columns: 38"):
         oi.validate_strict(wh, str(bad), MAP)
     short = tmp_path / "short"
     short.mkdir()
@@ -58,6 +58,18 @@ def test_strict_header_and_width_are_checked(spark, tmp_path):
     assert rows_of(wh.read(oi.LOG_TABLE), "status") == [("failed",)]
 
 
+def test_empty_and_unknown_files_are_refused(spark, tmp_path):
+    wh = warehouse(spark, tmp_path)
+    for name, problem in (("SY2501.txt", "empty files"), ("q.txt", "no store known")):
+        src = tmp_path / name[:2]
+        src.mkdir()
+        (src / name).write_text("" if problem == "empty files" else "x")
+        with pytest.raises(oi.ImportRefused, match=problem):
+            oi.validate_strict(wh, str(src), MAP)
+    with pytest.raises(ValueError, match="not a TXT"):
+        oi.validate_strict(wh, str(tmp_path / "x.csv"), MAP)
+
+
 @pytest.mark.parametrize("change,reason", [
     ({"quantity": "1.5"}, "quantity: 1.5"),
     ({"item_price": "x"}, "item-price: x"),
@@ -235,7 +247,6 @@ def test_monthly_rejects(spark, tmp_path, change, reason):
 
 
 def test_monthly_repeated_items_are_refused(spark, tmp_path):
-    global MONTHLY
     path = tmp_path / "SY2607.txt"
     text = "\n".join("\t".join(r) for r in [
         [*MONTHLY, "order-item-id"], [*monthly_line(), "i1"], [*monthly_line(), "i1"]])
