@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import uuid
 
 import numpy as np
@@ -13,6 +14,15 @@ from pyspark.sql import functions as F
 DOCUMENT_COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
+def importable(spark: SparkSession) -> SparkSession:
+    """Let Python workers on this machine import the package from where the driver did."""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    environment = spark.sparkContext.environment
+    if root not in environment.get("PYTHONPATH", "").split(os.pathsep):
+        environment["PYTHONPATH"] = os.pathsep.join(filter(None, [environment.get("PYTHONPATH"), root]))
+    return spark
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new path in the shared folder: spark.checkpoint.dir, or the warehouse where that is unset."""
     root = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir')}/scratch"
@@ -26,7 +36,7 @@ def store(df: DataFrame, label: str) -> DataFrame:
 
     Later steps see one frozen set of rows and do not depend on a lost executor.
     """
-    path = scratch_path(df.sparkSession, label)
+    path = scratch_path(importable(df.sparkSession), label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
@@ -38,7 +48,7 @@ def drop_stored(spark: SparkSession) -> None:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return importable(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def held_out(doc_id: Column) -> Column:

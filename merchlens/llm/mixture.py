@@ -31,7 +31,7 @@ STEPS = 40
 PIECE = 50_000
 PHASES = 64
 #: Rates are whole numbers of this many parts of a copy, so that sums in any order agree.
-UNIT = 1_000_000_000
+UNIT = 1_000_000
 _SUM = "decimal(38,10)"
 
 
@@ -125,12 +125,12 @@ def rates(sizes: DataFrame, wanted: DataFrame, tolerance: float = 1e-9) -> DataF
 
 def _whole(units: Column) -> Column:
     """Whole copies in ``units``, by whole-number division."""
-    return (units - F.pmod(units, F.lit(UNIT))) / UNIT
+    return F.call_function("div", units, F.lit(UNIT))
 
 
 def _phased(rated: DataFrame) -> DataFrame:
     """``rated`` with the starting point (``phase``) that brings each source's words nearest to its target."""
-    tried = rated.withColumn("phase", F.explode(F.array(*[F.lit(UNIT * k // PHASES) for k in range(PHASES)])).cast("long"))
+    tried = rated.withColumn("phase", F.explode(F.array(*[F.lit(UNIT * k // PHASES).cast("long") for k in range(PHASES)])))
     start = F.col("before") + F.col("phase")
     words = F.col("size") * (_whole(start + F.col("units") * F.col("n")) - _whole(start))
     tried = tried.groupBy("source", "phase").agg(F.abs(F.sum(words) - F.first("target")).alias("miss"))
