@@ -1,6 +1,6 @@
 """Toxic spans by a linear-chain conditional random field.
 
-Tokens have two labels. A token's features are its word, its prefixes of 3 to 5 characters and
+Tokens have two labels. A token's features are its word, its prefixes of 4 to 8 characters and
 its suffix of 3, hashed; neighbours act through the chain. Token labels for training come from
 document labels: a word or prefix is toxic if it stands in many different contexts (the words
 before and after) in toxic documents and in hardly any in clean ones; contexts, not documents,
@@ -9,11 +9,11 @@ chains of a bounded sample of labelled documents: at most ``SAMPLE`` toxic and `
 clean ones, those with the least hashes among texts of at most ``SAMPLE_BYTES``.
 
 A chain is a sentence, cut every ``CHAIN`` tokens. Forward-backward runs over all chains of a
-batch at a time; its marginals give spans (neighbouring tokens at 0.5 or more), and the document's
-score, the probability that at least one of its spans is toxic (without spans, its largest
-marginal).
+batch at a time; its marginals give spans (neighbouring tokens at 0.5 or more). The document's score is
+a logistic curve over what its tokens' marginals add up to, fitted on a quarter of the sample that the
+field did not see.
 
-Defined cases: a null text is empty; an empty text scores 0 and has no span; repeated rows are
+Defined cases: a null text is empty; an empty text has no evidence (its score is the least) and no span; repeated rows are
 scored alike; null ids are carried; without labels of both kinds every score is 0; an empty table
 gives an empty result; only the text is read.
 """
@@ -22,7 +22,6 @@ from __future__ import annotations
 
 import re
 import zlib
-from collections import defaultdict
 from math import log
 
 import numpy as np
@@ -38,10 +37,13 @@ CLEAN = 4
 SAMPLE_BYTES = 50_000
 CHAIN = 64
 BUCKETS = 1 << 18
-CLEAN_CHAINS = 40_000
-EPOCHS = 4
+PLAIN_CHAINS = 40_000
+#: At least so many passes over the chains, and so many steps.
+EPOCHS, STEPS = 4, 500
 BATCH = 512
-CHANCE, LEAST_RATIO = 0.05, 20
+CHANCE, PURE = 0.05, 0.75
+PREFIXES = (4, 5, 6, 7, 8)
+FAINT = 0.2
 
 _EDGE = b"\"'`.,;:!?()[]{}<>*&%$#@~|/\\_-+="
 _STOPS = (b".", b"!", b"?", b".\"", b"!\"", b"?\"")
@@ -53,12 +55,8 @@ def bare(word: bytes) -> str:
     return word.strip(_EDGE).decode("utf-8", "replace").lower()
 
 
-def keys_of(word: str) -> list[str]:
-    return [f"w{word}"] + [f"{n}{word[:n]}" for n in (4, 5) if len(word) > n]
-
-
 def features_of(word: str) -> list[int]:
-    names = [f"w{word}", f"3{word[:3]}", f"4{word[:4]}", f"5{word[:5]}", f"s{word[-3:]}"]
+    names = [f"w{word}", f"s{word[-3:]}", *(f"{n}{word[:n]}" for n in PREFIXES)]
     return [zlib.crc32(n.encode()) % (BUCKETS - 1) + 1 for n in names] + [0]  # 0: every token has it
 
 
@@ -73,6 +71,12 @@ class Field:
         self.weights = np.zeros(BUCKETS)
         self.turns = np.zeros((2, 2))
         self.trained = False
+        self.level = (1.0, -2.0)
+
+    def document(self, evidence: np.ndarray) -> np.ndarray:
+        """Document scores; 0 without a trained field."""
+        slope, offset = self.level
+        return 1 / (1 + np.exp(-np.clip(slope * evidence + offset, -40, 40))) if self.trained else np.zeros(len(evidence))
 
     def marginals(self, score: np.ndarray, starts: np.ndarray, sizes: np.ndarray, pairs: bool = False):
         """P(label 1) of every token; ``score`` holds what its features say, chains lie one after the other.
@@ -107,24 +111,24 @@ class Field:
         expected[:] = (parts / parts.sum(axis=0)).sum(axis=1).reshape(2, 2)
         return p, expected
 
-    def fit(self, chains: list[tuple[list[list[int]], list[int]]], seed: int = 3, rate: float = 0.5) -> None:
-        """AdaGrad on the log likelihood of labelled chains (features per token, labels)."""
+    def fit(self, at: np.ndarray, y: np.ndarray, starts: np.ndarray, sizes: np.ndarray, seed: int = 3, rate: float = 0.5) -> None:
+        """AdaGrad on the log likelihood of chains: features (a row per token) and labels of their tokens."""
         random = np.random.default_rng(seed)
         heat, turn_heat = np.full(BUCKETS, 1e-8), np.full((2, 2), 1e-8)
-        for _ in range(EPOCHS):
-            order = random.permutation(len(chains))
+        for _ in range(max(EPOCHS, -(-STEPS * BATCH // max(1, len(starts))))):
+            order = random.permutation(len(starts))
             for low in range(0, len(order), BATCH):
-                some = [chains[i] for i in order[low : low + BATCH]]
-                sizes = np.array([len(y) for _, y in some])
-                starts = np.cumsum(sizes) - sizes
-                at = np.array([f for x, _ in some for f in x])
-                y = np.array([b for _, x in some for b in x])
-                p, expected = self.marginals(self.weights[at].sum(axis=1), starts, sizes, pairs=True)
-                slope = np.bincount(at.ravel(), np.repeat(p - y, at.shape[1]), BUCKETS) / len(some) + 1e-6 * self.weights
-                seen = np.zeros((2, 2))
-                inner = np.ones(len(y), bool)
-                inner[starts + sizes - 1] = False
-                np.add.at(seen, (y[np.flatnonzero(inner)], y[np.flatnonzero(inner) + 1]), 1)
+                some = order[low : low + BATCH]
+                n = sizes[some]
+                first = np.cumsum(n) - n
+                tokens = np.arange(n.sum()) - np.repeat(first - starts[some], n)
+                x, label = at[tokens], y[tokens]
+                p, expected = self.marginals(self.weights[x].sum(axis=1), first, n, pairs=True)
+                slope = np.bincount(x.ravel(), np.repeat(p - label, x.shape[1]), BUCKETS) / len(some) + 1e-6 * self.weights
+                inner = np.ones(len(label), bool)
+                inner[first + n - 1] = False
+                inner = np.flatnonzero(inner)
+                seen = np.bincount(2 * label[inner] + label[inner + 1], minlength=4).reshape(2, 2)
                 turn = (expected - seen) / len(some)
                 heat += slope**2
                 turn_heat += turn**2
@@ -133,42 +137,53 @@ class Field:
         self.trained = True
 
 
-def chains_of(words: list[bytes]) -> list[tuple[int, int]]:
-    """(first, end) of the chains of a text."""
-    out, start = [], 0
-    for i, word in enumerate(words):
-        if word.endswith(_STOPS) or i + 1 - start == CHAIN:
-            out.append((start, i + 1))
-            start = i + 1
-    if start < len(words):
-        out.append((start, len(words)))
-    return out
+def chains_of(stop: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First token and length of every chain: one starts where a text does, after a stop, and after CHAIN tokens without one."""
+    cut = np.zeros(len(stop) + 1, bool)
+    cut[offsets] = True
+    cut[1:][stop] = True
+    starts = np.flatnonzero(cut)
+    sizes = np.diff(starts)
+    pieces = -(-sizes // CHAIN)
+    inner = np.arange(pieces.sum()) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+    begins = np.repeat(starts[:-1], pieces) + inner * CHAIN
+    return begins, np.minimum(CHAIN, np.repeat(starts[1:], pieces) - begins)
 
 
-def toxic_keys(texts: list[list[str]], labels: list[int]) -> set[str]:
-    """Words and prefixes that mark toxic texts.
+def toxic_words(plain: list[str], codes: np.ndarray, offsets: np.ndarray, labels: np.ndarray) -> np.ndarray:
+    """Which words of the vocabulary ``plain`` mark toxic texts, by themselves or by a prefix.
 
-    If labels had nothing to do with a key, each of its contexts would be toxic with the share that
-    toxic texts have of all words; a key counts where so many contexts are toxic that not even
-    ``CHANCE`` keys of all would come so far by chance, and at most one in ``LEAST_RATIO`` is clean.
+    If labels had nothing to do with a key (a word or a prefix), each of its contexts would be toxic with
+    the share that toxic texts have of all words. A key marks if at least ``PURE`` of its contexts are toxic
+    and not even ``CHANCE`` keys of all tried would come so far by chance (Chernoff bound).
     """
-    contexts: tuple[dict, dict] = (defaultdict(set), defaultdict(set))
-    words_of = [0, 0]
-    for words, label in zip(texts, labels, strict=True):
-        padded = ["", *words, ""]
-        words_of[label] += len(words)
-        for i, word in enumerate(words):
-            if word:
-                around = (padded[i], padded[i + 2])
-                for key in keys_of(word):
-                    contexts[label][key].add(around)
-    share = min(0.9, 1.5 * words_of[1] / max(1, sum(words_of)))
-    tried = sum(len(x) > 2 for x in contexts[1].values())
-    least = log(max(1, tried) / CHANCE) / log(1 / share)
-    return {
-        key for key, seen in contexts[1].items()
-        if len(seen) - LEAST_RATIO * len(contexts[0].get(key, ())) >= least
-    }
+    toxic = np.repeat(labels, np.diff(offsets)).astype(bool)
+    numbers: dict[str, int] = {}
+    word = np.array([numbers.setdefault(w, len(numbers)) for w in plain], np.int64)[codes]
+    edge = np.zeros(len(codes) + 1, bool)
+    edge[offsets] = True
+    before = np.where(edge[:-1], len(numbers), np.roll(word, 1))
+    after = np.where(edge[1:], len(numbers), np.roll(word, -1))
+    context = (before * (len(numbers) + 1) + after).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    share = min(0.9, max(toxic.mean(), 1e-3))
+    marked = np.zeros(len(plain), bool)
+    tables, tried = [], 0
+    for n in (*PREFIXES, 0):
+        keys: dict[str, int] = {}
+        key_of = np.array([keys.setdefault(w[:n] if n else w, len(keys)) if len(w) > n else -1 for w in plain], np.int64)
+        some = np.flatnonzero(key_of[codes] >= 0)
+        key = key_of[codes[some]]
+        _, first = np.unique(key.astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F) ^ context[some], return_index=True)
+        bad = np.bincount(key[first], toxic[some][first], len(keys))
+        every = np.bincount(key[first], minlength=len(keys))
+        tried += int((every > 2).sum())
+        tables.append((key_of, bad, every))
+    for key_of, bad, every in tables:
+        rate = np.clip(bad / np.maximum(every, 1), 1e-9, 1 - 1e-9)
+        far = every * (rate * np.log(rate / share) + (1 - rate) * np.log((1 - rate) / (1 - share)))
+        marks = (rate >= max(PURE, share)) & (far >= log(max(1, tried) / CHANCE))
+        marked |= (key_of >= 0) & marks[np.maximum(key_of, 0)]
+    return marked & np.array([bool(w) for w in plain], bool)
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Field:
@@ -189,25 +204,52 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Field:
     field = Field()
     if not of_kind[0] or not of_kind[1]:
         return field
-    raw = [(r.text.encode().split(), r.label) for r in of_kind[0] + of_kind[1]]
-    plain = [[bare(w) for w in words] for words, _ in raw]
-    marks = toxic_keys(plain, [label for _, label in raw])
-    cache: dict[str, list[int]] = {}
-    hot, cold = [], []
-    for (words, label), clean in zip(raw, plain, strict=True):
-        for start, end in chains_of(words):
-            y = [int(bool(label) and any(k in marks for k in keys_of(w))) for w in clean[start:end]]
-            x = [cache.get(w) or cache.setdefault(w, features_of(w)) for w in clean[start:end]]
-            (hot if any(y) else cold).append((x, y))
-    if not hot:
+    # A quarter of the texts, spread over both kinds, is kept for the calibration of document scores.
+    aside = of_kind[0][::4] + of_kind[1][::4]
+    learn = [r for kind in of_kind for i, r in enumerate(kind) if i % 4]
+    labels_of = np.array([r.label for r in learn], np.int64)
+    codes, offsets, vocabulary = split_words(pa.array([r.text for r in learn], pa.string()), lower=False)
+    if not len(codes):
+        return field
+    words = vocabulary.cast(pa.binary()).to_pylist()
+    plain = [bare(w) for w in words]
+    marked = toxic_words(plain, codes, offsets, labels_of)[codes]
+    y = (marked & np.repeat(labels_of, np.diff(offsets)).astype(bool)).astype(np.int64)
+    if not y.any():
         return field
-    pick = np.random.default_rng(5).permutation(len(cold))[:CLEAN_CHAINS]
-    field.fit(hot + [cold[i] for i in sorted(pick)])
+    starts, sizes = chains_of(np.fromiter((w.endswith(_STOPS) for w in words), bool, len(words))[codes], offsets)
+    # Chains with a marked word all take part, in clean texts as the hard cases; of the others a fixed number.
+    total = np.concatenate([[0], np.cumsum(marked)])
+    near = total[starts + sizes] > total[starts]
+    plain_chains = np.random.default_rng(5).permutation(np.flatnonzero(~near))[:PLAIN_CHAINS]
+    chosen = np.sort(np.concatenate([np.flatnonzero(near), plain_chains]))
+    at = np.array([features_of(w) for w in plain], np.int32)
+    tokens = np.arange(sizes[chosen].sum()) - np.repeat(np.cumsum(sizes[chosen]) - sizes[chosen] - starts[chosen], sizes[chosen])
+    field.fit(at[codes[tokens]], y[tokens], np.cumsum(sizes[chosen]) - sizes[chosen], sizes[chosen])
+    evidence, _ = evidence_of(pa.array([r.text for r in aside], pa.string()), field)
+    field.level = calibrate(evidence, np.array([r.label for r in aside], float))
     return field
 
 
-def _scored(texts: pa.Array, field: Field):
-    """Scores and word-wise spans (first, end, p) of each text."""
+def calibrate(evidence: np.ndarray, labels: np.ndarray) -> tuple[float, float]:
+    """Slope (not below 0) and offset of a logistic curve, by Newton steps with a weak ridge."""
+    x = np.stack([evidence, np.ones(len(evidence))], axis=1)
+    w, ridge = np.array([1.0, -2.0]), np.diag([1e-2, 1e-2])
+    for _ in range(50):
+        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
+        step = np.linalg.solve(x.T @ (x * (p * (1 - p))[:, None]) + ridge, x.T @ (labels - p) - ridge @ (w - [1.0, -2.0]))
+        w = w + np.clip(step, -2, 2)
+        if np.abs(step).max() < 1e-8:
+            break
+    return max(0.0, float(w[0])), float(w[1])
+
+
+def evidence_of(texts: pa.Array, field: Field):
+    """What the toxic tokens of each text add up to, and word-wise spans (first, end, p).
+
+    Every different word adds -log(1 - p), 3 at most, p being its largest marginal, if that is at least
+    ``FAINT``; it adds that again if it stands there more than once.
+    """
     codes, offsets, vocabulary = split_words(texts, lower=False)
     n = len(offsets) - 1
     if not field.trained or not len(codes):
@@ -215,32 +257,22 @@ def _scored(texts: pa.Array, field: Field):
     words = vocabulary.cast(pa.binary()).to_pylist()
     at = np.array([features_of(bare(w)) for w in words])
     score = field.weights[at].sum(axis=1)[codes]
-    stop = np.fromiter((w.endswith(_STOPS) for w in words), bool, len(words))[codes]
-    # A chain starts where a text does, after a stop, and after CHAIN tokens without one.
-    cut = np.zeros(len(codes) + 1, bool)
-    cut[offsets] = True
-    cut[1:][stop] = True
-    starts = np.flatnonzero(cut)
-    sizes = np.diff(starts)
-    pieces = -(-sizes // CHAIN)
-    inner = np.arange(pieces.sum()) - np.repeat(np.cumsum(pieces) - pieces, pieces)
-    begins = np.repeat(starts[:-1], pieces) + inner * CHAIN
-    lengths = np.minimum(CHAIN, np.repeat(starts[1:], pieces) - begins)
-    p = field.marginals(score, begins, lengths)
-    top = np.zeros(n)
-    full = offsets[1:] > offsets[:-1]
-    top[full] = np.maximum.reduceat(p, offsets[:-1][full])
+    p = field.marginals(score, *chains_of(np.fromiter((w.endswith(_STOPS) for w in words), bool, len(words))[codes], offsets))
+    some = np.flatnonzero(p >= FAINT)
+    pair, index = np.unique((np.searchsorted(offsets, some, "right") - 1) * len(words) + codes[some], return_inverse=True)
+    times = np.minimum(2, np.bincount(index, minlength=len(pair)))
+    most = np.zeros(len(pair))
+    np.maximum.at(most, index, p[some])
+    total = np.bincount(pair // len(words), times * np.minimum(3.0, -np.log1p(-np.minimum(most, 1 - 1e-12))), n)
     spans: list[list] = [[] for _ in range(n)]
-    marked = np.flatnonzero(p >= 0.5)
+    marked = some[p[some] >= 0.5]
     for row, token in zip((np.searchsorted(offsets, marked, "right") - 1).tolist(), marked.tolist(), strict=True):
         place, own = token - int(offsets[row]), spans[row]
         if own and own[-1][1] == place:
             own[-1] = (own[-1][0], place + 1, max(own[-1][2], float(p[token])))
         else:
             own.append((place, place + 1, float(p[token])))
-    for row in np.flatnonzero(top >= 0.5):
-        top[row] = 1 - np.prod([1 - s for _, _, s in spans[row]])
-    return top, spans
+    return total, spans
 
 
 _SPANS = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("probability", pa.float64())]))
@@ -254,7 +286,8 @@ def score(docs: DataFrame, field: Field) -> DataFrame:
         for batch in batches:
             for some in slices(batch, 2000):
                 texts = as_array(some.column(1))
-                top, found = _scored(texts, sent.value)
+                total, found = evidence_of(texts, sent.value)
+                top = sent.value.document(total)
                 spans = []
                 for row, own in enumerate(found):
                     places = [m.span() for m in _WORD.finditer(texts[row].as_py())] if own else []
