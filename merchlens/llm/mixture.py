@@ -140,8 +140,11 @@ def _phased(rated: DataFrame) -> DataFrame:
 
 def mix(docs: DataFrame, keep: list[str] | None = None) -> DataFrame:
     """One row per row of ``docs``: ``keep`` (default: doc_id), size, source_size, target, copies, taken."""
-    kept = ["doc_id"] if keep is None else keep
-    sized = store(docs.select(*kept, F.col("source").alias("_source"), word_count(F.col("text")).alias("size")), "mix-sizes")
+    row = F.struct(*(["doc_id"] if keep is None else keep)).alias("_row")
+    sized = store(
+        docs.select(row, F.col("doc_id").alias("_id"), F.col("source").alias("_source"), word_count(F.col("text")).alias("size")),
+        "mix-sizes",
+    )
     sizes = store(sized.groupBy(F.col("_source").alias("source"), "size").agg(F.count(F.lit(1)).alias("n")), "mix-counts")
     rated = rates(sizes, store(targets(sizes), "mix-targets"))
     of_source = Window.partitionBy("source").orderBy("size").rowsBetween(Window.unboundedPreceding, -1)
@@ -152,16 +155,16 @@ def mix(docs: DataFrame, keep: list[str] | None = None) -> DataFrame:
         "mix-rates",
     )
     rated = _phased(rated)
-    keyed = sized.withColumn("_key", F.xxhash64("doc_id"))
+    keyed = sized.withColumn("_key", F.xxhash64("_id"))
     joined = keyed.join(
         rated, F.col("_source").eqNullSafe(F.col("source")) & (keyed["size"] == rated["size"])
-    ).select(*kept, "source", keyed["size"].alias("size"), "source_size", "target", "units", "before", "phase",
+    ).select("_row", "_id", "source", keyed["size"].alias("size"), "source_size", "target", "units", "before", "phase",
              "_key", F.pmod("_key", "pieces").alias("_piece"))
     joined = store(joined, "mix-joined")
     counts = joined.groupBy("source", "size", "_piece").agg(F.count(F.lit(1)).alias("rows"))
     ahead = Window.partitionBy("source", "size").orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
     counts = counts.withColumn("ahead", F.coalesce(F.sum("rows").over(ahead), F.lit(0)))
-    place = Window.partitionBy("source", "size", "_piece").orderBy("_key", "doc_id")
+    place = Window.partitionBy("source", "size", "_piece").orderBy("_key", "_id")
     numbered = joined.withColumn("_place", F.row_number().over(place) - 1).alias("j").join(
         counts.alias("c"),
         F.col("j.source").eqNullSafe(F.col("c.source")) & (F.col("j.size") == F.col("c.size")) & (F.col("j._piece") == F.col("c._piece")),
@@ -169,9 +172,10 @@ def mix(docs: DataFrame, keep: list[str] | None = None) -> DataFrame:
     upto = F.col("before") + F.col("units") * (F.col("ahead") + F.col("_place")) + F.col("phase")
     copies = _whole(upto + F.col("units")) - _whole(upto)
     return numbered.select(
-        *[F.col(f"j.{c}") for c in kept], F.col("j.size").alias("size"), "source_size", "target",
+        "_row.*", F.col("j.size").alias("size"), "source_size", "target",
         F.least(copies, F.lit(MOST)).cast("long").alias("copies"),
-    ).withColumn("taken", F.col("copies") * F.col("size"))
+        (F.least(copies, F.lit(MOST)).cast("long") * F.col("j.size")).alias("taken"),
+    )
 
 
 def apply_mix(docs: DataFrame) -> DataFrame:

@@ -278,7 +278,10 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def near_duplicates(marked: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """(fp, component_id) for every fingerprint of ``marked`` (doc_id, fp): the smallest doc_id it reaches."""
+    """(fp, root, component_id) for every fingerprint of ``marked`` (doc_id, fp).
+
+    ``root`` tells components apart, ``component_id`` is the smallest doc_id in it.
+    """
     distinct = store(marked.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "fingerprints")
     roots = components(links(distinct, radius))
     placed = distinct.join(roots, distinct.fp == roots.node, "left").select(
@@ -287,7 +290,7 @@ def near_duplicates(marked: DataFrame, radius: int = RADIUS) -> DataFrame:
     placed = store(placed, "placed")
     # Most components are single fingerprints; only the others need a second look.
     linked = placed.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    return placed.join(linked, "root").select("fp", "component_id")
+    return placed.join(linked, "root").select("fp", "root", "component_id")
 
 
 def drop_near_duplicates(docs: DataFrame, width: int = 5, radius: int = RADIUS) -> DataFrame:
@@ -308,19 +311,21 @@ def drop_near_duplicates(docs: DataFrame, width: int = 5, radius: int = RADIUS)
     kept = docs.join(by_id, docs.doc_id == by_id.component_id).select(*[docs[c] for c in columns])
     nameless = docs.filter("doc_id IS NULL")
     if winners.filter("component_id IS NULL").isEmpty():
-        return _one_each(kept, ["doc_id"], columns, winners)
-    own = fingerprints(nameless, width, columns).join(
-        group.filter("component_id IS NULL"), F.col("fp") == F.col("_fp"), "left_semi"
+        return _one_each(kept, winners)
+    # One of each fingerprint, then one of each component: its least fingerprint.
+    least = group.filter("component_id IS NULL").groupBy("root").agg(F.min("_fp").alias("_fp"))
+    own = fingerprints(nameless.select(F.struct(*columns).alias("_row"), "text"), width, ["_row"]).join(
+        least, F.col("fp") == F.col("_fp"), "left_semi"
     )
-    return _one_each(kept, ["doc_id"], columns, winners).unionByName(own.dropDuplicates(["fp"]).select(*columns))
+    return _one_each(kept, winners).unionByName(own.dropDuplicates(["fp"]).select("_row.*"))
 
 
-def _one_each(kept: DataFrame, key: list[str], columns: list[str], winners: DataFrame) -> DataFrame:
+def _one_each(kept: DataFrame, winners: DataFrame) -> DataFrame:
     """``kept`` as it is where no id is repeated, else one row per id."""
     repeated = winners.filter("component_id IS NOT NULL").groupBy("component_id").agg(F.sum("count").alias("n")).filter("n > 1")
     if repeated.isEmpty():
         return kept
-    return kept.dropDuplicates(key)
+    return kept.dropDuplicates(["doc_id"])
 
 
 def op10_simhash(spark, sf_dir: str) -> DataFrame:

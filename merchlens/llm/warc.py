@@ -116,7 +116,7 @@ def parse_record(data: bytes) -> dict:
 
 def dictionary_frame(sample: list[bytes]) -> tuple[bytes, zstandard.ZstdCompressionDict | None]:
     try:
-        trained = zstandard.train_dictionary(DICTIONARY_BYTES, sample)
+        trained = zstandard.train_dictionary(max(256, min(DICTIONARY_BYTES, sum(map(len, sample)) // 8)), sample)
     except zstandard.ZstdError:  # too few or too small
         return b"", None
     content = trained.as_bytes()
