@@ -115,12 +115,17 @@ def parse_record(data: bytes) -> dict:
 
 
 def dictionary_frame(sample: list[bytes]) -> tuple[bytes, zstandard.ZstdCompressionDict | None]:
-    try:
-        trained = zstandard.train_dictionary(max(256, min(DICTIONARY_BYTES, sum(map(len, sample)) // 8)), sample)
-    except zstandard.ZstdError:  # too few or too small
-        return b"", None
-    content = trained.as_bytes()
-    return SKIPPABLE + len(content).to_bytes(4, "little") + content, trained
+    """A skippable frame with a trained dictionary; nothing where even a small one cannot be trained."""
+    size = min(DICTIONARY_BYTES, sum(map(len, sample)) // 8)
+    while size >= 256:
+        try:
+            trained = zstandard.train_dictionary(size, sample)
+        except zstandard.ZstdError:  # too few, too small or too alike for this size
+            size //= 4
+            continue
+        content = trained.as_bytes()
+        return SKIPPABLE + len(content).to_bytes(4, "little") + content, trained
+    return b"", None
 
 
 def write_archives(records: DataFrame, folder: str) -> DataFrame:
@@ -139,7 +144,7 @@ def write_archives(records: DataFrame, folder: str) -> DataFrame:
         def start(sample):
             name = posixpath.join(base, f"{stem}-{number:05d}.warc.zst")
             head, trained = dictionary_frame([x[:SAMPLE_BYTES] for x in sample])
-            stream = system.open_output_stream(name)
+            stream = system.open_output_stream(name, compression=None)
             stream.write(head)
             press = zstandard.ZstdCompressor(level=LEVEL, dict_data=trained, write_checksum=True)
             return [posixpath.join(folder.rstrip("/"), posixpath.basename(name)), stream, press, 0, len(head)]
@@ -234,7 +239,7 @@ def read_archives(archives: DataFrame, strict: bool = True, payload: bool = Fals
             for path in batch.column(0).to_pylist():
                 system, base = fs.FileSystem.from_uri(path)
                 rows, size = [], 0
-                with system.open_input_stream(base) as stream:
+                with system.open_input_stream(base, compression=None) as stream:
                     try:
                         for at, data in frames(stream):
                             try:

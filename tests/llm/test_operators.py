@@ -58,7 +58,10 @@ PAGES = "page_id long, url string, html string, payload string, revisit string"
 
 
 def test_archives_round_trip(spark, tmp_path):
-    rows = [(i, f"http://h/{i}", f"<p>{i % 7} text\r\n\r\n é</p>" * 50, "x", "y") for i in range(400)]
+    def page(seed):
+        return "<p>é\r\n\r\n" + " ".join(f"word{x}" for x in np.random.default_rng(seed).integers(0, 500, 200)) + "</p>"
+
+    rows = [(i, f"http://h/{i}", page(i % 350), "x", "y") for i in range(400)]
     rows += [(900, None, None, "x", "y"), (901, "http://a b\n", "", "x", "y"), (None, "u", "<p>0</p>", "x", "y"), (None, None, None, "x", "y"),
              (902, "u", "L" * 3_000_000, "x", "y"), (0, "http://h/0", rows[0][2], "x", "y")]
     pages = spark.createDataFrame(rows, PAGES)
