@@ -31,12 +31,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from merchlens.llm.common import as_array, split_words, table
+from merchlens.llm.common import as_array, slices, split_words, table
 
 WIDTH = 5
 LEAST = 0.8
 RADIUS = 16
 PART_WORDS = 500_000
+#: Texts that a task works on at a time.
+ROWS = 1000
 _P = np.uint64(0x9E3779B97F4A7C15)
 _BITS = 22
 
@@ -189,14 +191,15 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, least: float = LEAST, ra
         def of(batches):
             index = part.value
             for batch in batches:
-                found = list(index.scan(as_array(batch.column(1))))
-                if found:
-                    rows, items, *rest = zip(*found, strict=True)
-                    ids = pa.array([index.ids[i] for i in items], pa.int64())
-                    yield pa.RecordBatch.from_arrays(
-                        [batch.column(0).take(pa.array(rows)), ids, *(pa.array(x, t) for x, t in zip(rest, arrow, strict=True))],
-                        schema.names,
-                    )
+                for some in slices(batch, ROWS):
+                    found = list(index.scan(as_array(some.column(1))))
+                    if found:
+                        rows, items, *rest = zip(*found, strict=True)
+                        ids = pa.array([index.ids[i] for i in items], pa.int64())
+                        yield pa.RecordBatch.from_arrays(
+                            [some.column(0).take(pa.array(rows)), ids, *(pa.array(x, t) for x, t in zip(rest, arrow, strict=True))],
+                            schema.names,
+                        )
 
         return docs.select("doc_id", "text").mapInArrow(of, schema)
 
@@ -212,10 +215,11 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, least: float = LEAS
     for part in parts_of(benchmark, least, radius):
         def of(batches, part=part):
             for batch in batches:
-                clean = np.ones(batch.num_rows, bool)
-                for row, *_ in part.value.scan(as_array(batch.column(at))):
-                    clean[row] = False
-                yield batch.filter(pa.array(clean))
+                for some in slices(batch, ROWS):
+                    clean = np.ones(some.num_rows, bool)
+                    for row, *_ in part.value.scan(as_array(some.column(at))):
+                        clean[row] = False
+                    yield some.filter(pa.array(clean))
 
         docs = docs.mapInArrow(of, docs.schema)
     return docs
