@@ -184,7 +184,8 @@ def apply_mix(docs: DataFrame) -> DataFrame:
     Rows that share an id take turns: each of them gets the copies of the least of their rows.
     """
     copies = mix(docs.select("doc_id", "text", "source")).groupBy("doc_id").agg(F.min("copies").alias("_copies"))
-    copies = copies.select(F.col("doc_id").alias("_id"), "_copies").filter("_copies > 0")
+    # One row per document kept: the same join at every size, hashed on this side so that texts need no sort.
+    copies = copies.select(F.col("doc_id").alias("_id"), "_copies").filter("_copies > 0").hint("shuffle_hash")
     return (
         docs.join(copies, F.col("doc_id").eqNullSafe(F.col("_id")))
         .select(*docs.columns, F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int"))).alias("_copy"))

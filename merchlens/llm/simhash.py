@@ -306,7 +306,8 @@ def drop_near_duplicates(docs: DataFrame, width: int = 5, radius: int = RADIUS)
         .filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
         .groupBy("component_id", "fp").count(), "winners",
     )
-    by_id = winners.filter("component_id IS NOT NULL").groupBy("component_id").agg(F.max("fp").alias("fp"))
+    # Kept ids grow with the corpus: the same join at every size, hashed on their side so that texts need no sort.
+    by_id = winners.filter("component_id IS NOT NULL").select("component_id").distinct().hint("shuffle_hash")
     columns = docs.columns
     kept = docs.join(by_id, docs.doc_id == by_id.component_id).select(*[docs[c] for c in columns])
     nameless = docs.filter("doc_id IS NULL")
