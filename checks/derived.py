@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from merchlens.session import scratch_root
@@ -109,9 +109,14 @@ def performance_pages(spark: SparkSession, folder: str) -> DataFrame:
         F.lit("0").alias("code"),
         F.struct(F.size("items").alias("total"), items.alias("list")).alias("data"),
     ))
+    # Pages count from 1. The first page fails in two months of the year, the second is lost in another.
+    number = F.row_number().over(Window.partitionBy("report_month", "sid").orderBy("page"))
+    pages = pages.withColumn("page", number)
     failed = F.lit('{"code":"500","data":{"list":[{"msku":"BAD"}]}}')
-    body = F.when(F.col("page") % 9 == 8, failed).otherwise(listed)
-    return pages.select("report_month", "sid", "store_name", "page", body.alias("body"))
+    month = F.month("report_month")
+    body = F.when((month % 5 == 0) & (F.col("page") == 1), failed).otherwise(listed)
+    landed = pages.filter(~((month % 7 == 0) & (F.col("page") == 2)))
+    return landed.select("report_month", "sid", "store_name", "page", body.alias("body"))
 
 
 def write_reports(spark: SparkSession, folder: str) -> str:

@@ -498,17 +498,28 @@ FROM (SELECT ['JQ', 'MT', 'RKZ', 'SY'][CAST(o_custkey % 4 AS INT) + 1] AS code,
              CAST(date_trunc('month', o_orderdate) + INTERVAL '324' MONTH AS DATE) AS month FROM orders)
 """)
 cte("page_rows", """
-SELECT *, k // 50 + again * 100000 AS page
+SELECT *, max(page) OVER (PARTITION BY report_month, sid) AS last_page
+FROM (SELECT *, CAST(dense_rank() OVER (PARTITION BY report_month, sid ORDER BY k // 50 + again * 100000) AS INT) AS page
 FROM (SELECT *, CAST(substr(msku, 5) AS BIGINT) AS k,
              100 + CASE store_name WHEN 'AFRICA-US' THEN 1 WHEN 'AMERICA-US' THEN 2 WHEN 'ASIA-US' THEN 3
                                    WHEN 'EUROPE-US' THEN 4 ELSE 5 END AS sid
       FROM performance) p, (VALUES (0), (1)) AS a(again)
-WHERE again = 0 OR k % 7 = 0
+WHERE again = 0 OR k % 7 = 0)
 """, "performance")
-# Only pages with a good code, and only rows that name an MSKU in one of the two places.
-cte("good_rows", """
-SELECT * FROM page_rows WHERE page % 9 <> 8 AND (k % 3 <> 2 OR k % 11 <> 0)
+# Pages that arrived; which months and stores are incomplete.
+cte("landed_rows", """
+SELECT *, month(report_month) % 5 = 0 AND page = 1 AS failed,
+       CASE WHEN month(report_month) % 5 = 0 THEN 'page 1: code 500'
+            WHEN month(report_month) % 7 = 0 AND last_page >= 3 THEN '1 pages are missing' END AS problem
+FROM page_rows WHERE NOT (month(report_month) % 7 = 0 AND page = 2)
 """, "page_rows")
+# Rows of good pages that name an MSKU in one of the two places; only whole months are stored.
+cte("kept_rows", """
+SELECT * FROM landed_rows WHERE NOT failed AND (k % 3 <> 2 OR k % 11 <> 0)
+""", "landed_rows")
+cte("good_rows", """
+SELECT * FROM kept_rows WHERE problem IS NULL
+""", "kept_rows")
 
 
 ORACLE: dict[str, str] = {}
@@ -734,13 +745,15 @@ SELECT report_month, report_month AS period_start, least(last_day(report_month),
 FROM (SELECT *, row_number() OVER (PARTITION BY report_month, sid, msku ORDER BY page DESC) AS place FROM good_rows)
 WHERE place = 1""", "good_rows")
 oracle("performance_load_stats", """
-SELECT f.report_month, f.sid, f.store_name, f.interface_total, f.fetched_rows,
-       coalesce(w.written_rows, 0) AS written_rows
-FROM (SELECT report_month, sid, store_name, arg_min(n, page) AS interface_total, CAST(sum(n) AS BIGINT) AS fetched_rows
-      FROM (SELECT report_month, sid, store_name, page, count(*) AS n FROM page_rows WHERE page % 9 <> 8 GROUP BY 1, 2, 3, 4)
+SELECT f.report_month, f.sid, f.store_name, f.interface_total, coalesce(k.n, 0) AS fetched_rows,
+       CASE WHEN f.problem IS NULL THEN coalesce(k.n, 0) ELSE 0 END AS written_rows,
+       CASE WHEN f.problem IS NULL THEN 'SUCCESS' ELSE 'FAILED' END AS status, f.problem AS error_message
+FROM (SELECT report_month, sid, store_name, min(problem) AS problem,
+             arg_min(n, page) FILTER (WHERE NOT failed) AS interface_total
+      FROM (SELECT report_month, sid, store_name, page, failed, problem, count(*) AS n FROM landed_rows GROUP BY ALL)
       GROUP BY 1, 2, 3) f
-LEFT JOIN (SELECT report_month, sid, count(DISTINCT msku) AS written_rows FROM good_rows GROUP BY 1, 2) w
-  ON w.report_month = f.report_month AND w.sid = f.sid""", "page_rows", "good_rows")
+LEFT JOIN (SELECT report_month, sid, count(DISTINCT msku) AS n FROM kept_rows GROUP BY 1, 2) k
+  ON k.report_month = f.report_month AND k.sid = f.sid""", "landed_rows", "kept_rows")
 oracle("pending_tasks", f"""
 SELECT store_name, sid, report_month
 FROM (SELECT DISTINCT store_name, CAST(length(store_name) AS BIGINT) AS sid FROM performance)

@@ -176,7 +176,7 @@ def ad_alloc_hybrid(spark, folder):
 
 @query
 def ad_alloc_hybrid_sorted(spark, folder):
-    return allocate.allocate_hybrid(*_day_inputs(spark, folder), method="sorted")
+    return allocate.allocate_hybrid(*_day_inputs(spark, folder), day_method="sorted")
 
 
 # --- classification and rollup -----------------------------------------------
@@ -495,7 +495,9 @@ def _parsed(spark, folder):
 
 
 def _flat(spark, folder):
-    return performance_pages.flatten_rows(performance_pages.explode_rows(_parsed(spark, folder)), TODAY)
+    parsed = _parsed(spark, folder)
+    flat = performance_pages.flatten_rows(performance_pages.explode_rows(parsed), TODAY)
+    return performance_pages.whole_months(flat, performance_pages.month_states(parsed, flat))
 
 
 @query
@@ -510,10 +512,10 @@ def performance_rows(spark, folder):
 @query
 def performance_load_stats(spark, folder):
     parsed = _parsed(spark, folder)
-    written = performance_pages.last_per_msku(
-        performance_pages.flatten_rows(performance_pages.explode_rows(parsed), TODAY)
-    )
-    return performance_pages.load_stats(parsed, written)
+    flat = performance_pages.flatten_rows(performance_pages.explode_rows(parsed), TODAY)
+    states = performance_pages.month_states(parsed, flat)
+    written = performance_pages.last_per_msku(performance_pages.whole_months(flat, states))
+    return performance_pages.load_stats(states, written)
 
 
 @query

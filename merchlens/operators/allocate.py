@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from merchlens.operators.ranking import rank_in_group
+from merchlens.session import materialize
 from merchlens.rules import CONFIDENCE, DAY_SKU, MONTH_SKU, STORE_MONTH
 
 CANDIDATE = ["store_name", "order_month", "order_date", "sku_key", "amazon_order_id"]
@@ -40,13 +41,13 @@ def _ranked_by_day(base: DataFrame, demand_daily: DataFrame, method: str) -> Dat
     )
 
 
-def day_sku_rank(base: DataFrame, demand_daily: DataFrame, method: str = "auto") -> DataFrame:
+def day_sku_rank(base: DataFrame, demand_daily: DataFrame, method: str = "window") -> DataFrame:
     """Candidates on days with demand for their SKU, ranked within store, day and SKU."""
     return _ranked_by_day(base, demand_daily, method).drop("sp_orders", "sd_orders", "ad_orders_raw")
 
 
 def allocate_day_sku(
-    base: DataFrame, demand_daily: DataFrame, version: str = "v1_20260727", method: str = "auto"
+    base: DataFrame, demand_daily: DataFrame, version: str = "v1_20260727", method: str = "window"
 ) -> DataFrame:
     """Every candidate of a demanded day-SKU with a flag for those within the demand."""
     return _ranked_by_day(base, demand_daily, method).withColumns({
@@ -63,7 +64,7 @@ def allocate_store_month(
     base: DataFrame,
     demand_monthly: DataFrame,
     version: str = "v3_product_month_20260727",
-    method: str = "auto",
+    method: str = "sorted",
 ) -> DataFrame:
     """The first ``ad_order_quantity`` candidates of each store and month."""
     demand = demand_monthly.filter("ad_order_quantity > 0").select(
@@ -144,7 +145,8 @@ def allocate_hybrid(
     base: DataFrame,
     demand_daily: DataFrame,
     version: str = "v2_hybrid_20260727",
-    method: str = "auto",
+    day_method: str = "window",
+    store_method: str = "sorted",
 ) -> DataFrame:
     """Three levels: same day and SKU, then same month and SKU, then store and month."""
     candidates = order_sku_candidates(base)
@@ -152,7 +154,7 @@ def allocate_hybrid(
     ranked = rank_in_group(
         candidates, ["store_name", "order_month", "order_date", "sku_key"],
         ["first_purchase_date_utc", "amazon_order_id"],
-        rank="day_rank", size="day_size", method=method,
+        rank="day_rank", size="day_size", method=day_method,
     )
     placed = ranked.join(ledger, ["store_name", "order_month", "order_date", "sku_key"])
     place_in_rest = F.col("day_rank") - F.col("day_taken") + F.col("rest_before")
@@ -163,6 +165,9 @@ def allocate_hybrid(
         ),
     )
 
+    # Two levels read these rows; they are ranked once.
+    placed = materialize(placed, "hybrid-placed")
+
     def pick(day, month):
         return F.when(F.col("level") == DAY_SKU, day).otherwise(month)
 
@@ -192,7 +197,7 @@ def allocate_hybrid(
         rank_in_group(
             rest, ["store_name", "order_month"],
             ["first_purchase_date_utc", "amazon_order_id", "sku_key", "order_date"],
-            method=method,
+            method=store_method,
         )
         .filter(F.col("candidate_rank") <= F.col("store_residual"))
         .withColumn("level", F.lit(STORE_MONTH))

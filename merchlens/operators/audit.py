@@ -103,12 +103,9 @@ AUDIT_VIEW_COLUMNS = [
 
 
 def create_audit_view(audit: DataFrame, name: str = "dws_amz_product_ad_allocation_monthly_audit") -> DataFrame:
-    """The audit under its older name with its fixed column list; an existing one stays."""
-    spark = audit.sparkSession
-    if not spark.catalog.tableExists(name):
-        columns = [
-            F.col(c) if c in audit.columns else F.lit(None).cast("timestamp").alias(c)
-            for c in AUDIT_VIEW_COLUMNS
-        ]
-        audit.select(*columns).createTempView(name)
-    return spark.table(name)
+    """The stored audit table under its older name with its fixed column list; an existing view is replaced."""
+    columns = [
+        F.col(c) if c in audit.columns else F.lit(None).cast("timestamp").alias(c) for c in AUDIT_VIEW_COLUMNS
+    ]
+    audit.select(*columns).createOrReplaceTempView(name)
+    return audit.sparkSession.table(name)

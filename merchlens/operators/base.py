@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from merchlens.functions import promo
 from merchlens.functions.dates import in_pacific_months, month_of, pacific_date
-from merchlens.functions.text import LOOSE, same_text, sku_key
+from merchlens.functions.text import same_text, sku_key
 from merchlens.scope import Scope
 
 MONEY = "decimal(18,4)"
@@ -41,7 +41,7 @@ def valid_orders(orders: DataFrame, scope: Scope | None = None) -> DataFrame:
     lines = orders
     if scope is not None:
         lines = lines.filter(in_pacific_months("purchase_date_utc", scope.start, scope.end))
-        lines = lines.filter(scope.store_filter(collation=LOOSE))
+        lines = scope.fold_store(lines)
     return lines.filter(is_valid_line())
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from merchlens.functions.dates import month_of
@@ -12,17 +12,20 @@ from merchlens.scope import Scope
 STORE_LEVEL_SKU = "__STORE__"
 
 
+def of_ad_type(*names: str) -> Column:
+    return F.collate("ad_type", LOOSE).isin(list(names))
+
+
 def ad_demand_daily(ad_spend: DataFrame, scope: Scope | None = None) -> DataFrame:
     """SP and SD ad orders per store, date and SKU key."""
     key = sku_key("sku")
-    is_sp = F.collate("ad_type", LOOSE) == "SP"
-    is_sd = F.collate("ad_type", LOOSE) == "SD"
+    is_sp, is_sd = of_ad_type("SP"), of_ad_type("SD")
     rows = ad_spend.filter(
         (F.col("orders") > 0) & (is_sp | is_sd) & F.col("sku").isNotNull()
         & (key != "") & (key != STORE_LEVEL_SKU)
     )
     if scope is not None:
-        rows = rows.filter(scope.month_filter("report_date") & scope.store_filter())
+        rows = scope.fold_store(rows.filter(scope.month_filter("report_date")))
     zero = F.lit(0)
     return (
         rows.groupBy("store_name", "report_date", key.alias("sku_key"))
@@ -47,7 +50,7 @@ def ad_demand_monthly(performance: DataFrame, scope: Scope | None = None) -> Dat
     """Monthly ad target and order totals per store from product performance."""
     rows = performance
     if scope is not None:
-        rows = rows.filter(scope.month_filter("report_month") & scope.store_filter(collation=LOOSE))
+        rows = scope.fold_store(rows.filter(scope.month_filter("report_month")))
 
     def total(name: str) -> object:
         return F.sum(F.coalesce(name, F.lit(0)))

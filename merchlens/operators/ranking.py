@@ -1,12 +1,12 @@
-"""Row numbers within groups that stay balanced when one group is very large.
+"""Row numbers within groups, for groups bounded by nature and for groups of any size.
 
-A plain window puts each group in one task. That is right while every group is
-small, and wrong once one store-month (or one SKU) holds a large part of the
-rows. Here groups above ``HOT_ROWS`` are taken out and numbered by a global
-sort: range partitioning cuts a large group over many tasks, each row gets its
-place within its own partition, and the small table of (group, partition)
-counts gives the offset to add. Nothing is dropped, and both ways give the
-same numbers because the order columns identify a row within its group.
+``number_by_window`` puts each group in one task: right where a group is bounded, as
+the orders of one store, day and SKU are. ``number_by_sort`` numbers groups of any
+size, as the orders of a store and month are: one global sort, whose range
+partitioning cuts a large group over many tasks; each row takes its place within its
+own partition, and the small table of (group, partition) counts gives the offset to
+add. Both give the same numbers, because the order columns identify a row within its
+group; which one is used does not depend on the data.
 """
 
 from __future__ import annotations
@@ -14,11 +14,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from merchlens.session import input_bytes, materialize
+from merchlens.session import materialize
 
-# Inputs that together stay below this many bytes cannot form a large group.
-SMALL_INPUT_BYTES = 128 * 1024 * 1024
-HOT_ROWS = 2_000_000
 # monotonically_increasing_id keeps the partition above this bit, the place below.
 PARTITION_SHIFT = 33
 
@@ -29,36 +26,20 @@ def rank_in_group(
     order: list[str],
     rank: str = "candidate_rank",
     size: str = "candidate_orders",
-    method: str = "auto",
-    hot_rows: int = HOT_ROWS,
+    method: str = "sorted",
 ) -> DataFrame:
     """Add ``rank`` (1-based, by ``order``) and ``size`` (rows of the group).
 
-    ``order`` must be unique within ``group``. Methods: ``window``, ``sorted``
-    (every group by global sort), ``split`` (large groups by sort, others by
-    window), ``auto`` (window for small inputs, else split).
+    ``order`` must be unique within ``group``. ``method`` is ``window`` or ``sorted``.
     """
-    if method == "auto":
-        total = input_bytes(df)
-        method = "window" if total is not None and total <= SMALL_INPUT_BYTES else "split"
     if method == "window":
-        return _by_window(df, group, order, rank, size)
+        return number_by_window(df, group, order, rank, size)
     if method == "sorted":
-        return _by_sort(df, group, order, rank, size)
-    if method != "split":
-        raise ValueError(f"unknown ranking method {method!r}")
-    rows = materialize(df, "rank-input")
-    hot = materialize(
-        rows.groupBy(*group).count().filter(F.col("count") > hot_rows).select(*group), "rank-hot"
-    )
-    if hot.isEmpty():
-        return _by_window(rows, group, order, rank, size)
-    cold = _by_window(rows.join(hot, group, "left_anti"), group, order, rank, size)
-    large = _by_sort(rows.join(hot, group, "left_semi"), group, order, rank, size)
-    return cold.unionByName(large)
+        return number_by_sort(df, group, order, rank, size)
+    raise ValueError(f"unknown ranking method {method!r}")
 
 
-def _by_window(df: DataFrame, group: list[str], order: list[str], rank: str, size: str) -> DataFrame:
+def number_by_window(df: DataFrame, group: list[str], order: list[str], rank: str, size: str) -> DataFrame:
     whole = Window.partitionBy(*group)
     return df.withColumns({
         rank: F.row_number().over(whole.orderBy(*order)).cast("long"),
@@ -66,7 +47,7 @@ def _by_window(df: DataFrame, group: list[str], order: list[str], rank: str, siz
     })
 
 
-def _by_sort(df: DataFrame, group: list[str], order: list[str], rank: str, size: str) -> DataFrame:
+def number_by_sort(df: DataFrame, group: list[str], order: list[str], rank: str, size: str) -> DataFrame:
     placed = materialize(
         df.orderBy(*group, *order).withColumn("_place", F.monotonically_increasing_id()), "rank-sorted"
     ).withColumn("_part", F.shiftright("_place", PARTITION_SHIFT))

@@ -42,11 +42,23 @@ def source_monthly(result: DataFrame, rules: RuleSet) -> DataFrame:
             F.array("main_order_type", F.when(F.col("onsite_promotion_flag"), F.lit(ONSITE)))
         )
         lines = lines.withColumn("main_order_type", F.explode(kinds))
-    return lines.groupBy("order_month", "store_name", "main_order_type").agg(
-        F.count(F.lit(1)).alias("classified_item_rows"),
-        F.count_distinct("amazon_order_id", "sku_key").alias("order_sku_count"),
-        F.count_distinct("amazon_order_id").alias("amazon_order_count"),
-        F.sum("quantity").alias("units"),
+    # Order-SKUs, then orders, then the source: both distinct counts are plain sums of the step before.
+    # Nulls do not count, as in a distinct count.
+    source = ["order_month", "store_name", "main_order_type"]
+    totals = ["classified_item_rows", "units", "gross_item_sales", "net_item_sales"]
+    by_order_sku = lines.groupBy(*source, "amazon_order_id", "sku_key").agg(
+        F.count(F.lit(1)).alias("classified_item_rows"), F.sum("quantity").alias("units"),
+        F.sum("gross_item_sales").alias("gross_item_sales"), F.sum("net_item_sales").alias("net_item_sales"),
+    )
+    by_order = by_order_sku.groupBy(*source, "amazon_order_id").agg(
+        F.count("sku_key").alias("order_skus"), *[F.sum(c).alias(c) for c in totals]
+    )
+    named = F.col("amazon_order_id").isNotNull()
+    return by_order.groupBy(*source).agg(
+        F.sum("classified_item_rows").alias("classified_item_rows"),
+        F.coalesce(F.sum(F.when(named, F.col("order_skus"))), F.lit(0)).alias("order_sku_count"),
+        F.count("amazon_order_id").alias("amazon_order_count"),
+        F.sum("units").alias("units"),
         F.sum("gross_item_sales").cast("decimal(20,4)").alias("gross_item_sales"),
         F.sum("net_item_sales").cast("decimal(20,4)").alias("net_item_sales"),
     )

@@ -7,18 +7,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from merchlens.operators.allocate import allocate_day_sku, allocate_hybrid, allocate_store_month
-from merchlens.operators.audit import allocation_audit, hybrid_audit
+from merchlens.operators.audit import allocation_audit, create_audit_view, hybrid_audit
 from merchlens.operators.base import order_base
 from merchlens.operators.classify import classify, reclassify, reflag_base
-from merchlens.operators.demand import ad_demand_daily, ad_demand_monthly
+from merchlens.operators.demand import ad_demand_daily, ad_demand_monthly, of_ad_type
 from merchlens.operators.rollup import source_monthly
 from merchlens.rules import RuleSet
 from merchlens.scope import Scope, infer_scope
 from merchlens.sources.warehouse import Warehouse
 
 ORDERS = "ods_amz_all_orders_report"
-PERFORMANCE = "ods_lx_product_performance_monthly_msku"
-AD_SPEND = "lingxing_ad_spend_daily"
+PERFORMANCE = "ods_product_performance_monthly_msku"
+AD_SPEND = "ods_ad_spend_daily"
 BASE = "dwd_amz_order_attribution_base"
 DEMAND_DAILY = "dws_amz_ad_order_demand_daily"
 DEMAND_MONTHLY = "dws_amz_ad_order_demand_monthly"
@@ -34,9 +34,11 @@ def default_scope(warehouse: Warehouse, rules: RuleSet) -> Scope:
     if rules.allocator == "store_month":
         source, month = warehouse.read(PERFORMANCE), "report_month"
     else:
-        source, month = warehouse.read(AD_SPEND).filter(F.col("ad_type").isin("SP", "SD")), "report_date"
+        source, month = warehouse.read(AD_SPEND).filter(of_ad_type("SP", "SD")), "report_date"
     # The store list is an argument of the run, as a caller would type it.
-    stores = [r[0] for r in source.select("store_name").distinct().orderBy("store_name").collect()]
+    # Spellings that differ in case only are one store.
+    names = source.groupBy(F.upper("store_name")).agg(F.min("store_name").alias("store_name"))
+    stores = [r.store_name for r in names.orderBy("store_name").select("store_name").collect()]
     return infer_scope(source, month, stores)
 
 
@@ -72,6 +74,7 @@ def run_attribution(
         moment = now or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
         audit = allocation_audit(demand, base, allocation)
         publish(AUDIT, audit.withColumn("created_at", F.lit(moment).cast("timestamp_ntz")))
+        create_audit_view(warehouse.read(AUDIT))
     elif rules.allocator == "hybrid":
         publish(HYBRID_AUDIT, hybrid_audit(demand, allocation))
     return monthly

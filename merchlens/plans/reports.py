@@ -73,7 +73,7 @@ def deal_price_report(
         "orders",
     )
     require_columns(listing, schema_of("listing").names, "listing")
-    require_columns(product, schema_of("lxpm_product_category_snapshot").names, "product snapshot")
+    require_columns(product, schema_of("product_category_snapshot").names, "product snapshot")
     msku = materialize(dp.msku_month(orders, scope), "msku-month")
     if msku.isEmpty():
         raise ValueError("no valid orders in the scope")

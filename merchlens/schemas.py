@@ -69,7 +69,7 @@ TABLES = {
         "total_rows bigint, processed_rows bigint, inserted_or_updated_rows bigint, error_message string, "
         "started_at timestamp_ntz, finished_at timestamp_ntz"
     ),
-    "ods_lx_product_performance_monthly_msku": (
+    "ods_product_performance_monthly_msku": (
         "report_month date, period_start date, period_end date, sid bigint, store_name string, "
         "country string, msku string, sku string, asin string, parent_asin string, item_name string, "
         "volume bigint, order_items bigint, amount decimal(20,6), promotion_volume bigint, "
@@ -79,17 +79,17 @@ TABLES = {
         "ad_direct_sales_amount decimal(20,6), spend decimal(20,6), impressions bigint, "
         "currency_code string, raw_json string"
     ),
-    "etl_lx_product_performance_monthly_log": (
+    "etl_product_performance_monthly_log": (
         "report_month date, sid bigint, store_name string, status string, interface_total bigint, "
         "fetched_rows bigint, written_rows bigint, started_at timestamp_ntz, finished_at timestamp_ntz, "
         "error_message string"
     ),
-    "lingxing_ad_spend_daily": (
+    "ods_ad_spend_daily": (
         "store_name string, report_date date, sku string, asin string, ad_type string, orders bigint, "
         "sales decimal(18,4), cost decimal(18,4), clicks bigint, impressions bigint"
     ),
     "listing": "`店铺` string, `店铺id` string, MSKU string, SKU string, `负责人` string, `状态` int",
-    "lxpm_product_category_snapshot": (
+    "product_category_snapshot": (
         "sku string, product_name string, spu string, category_name string, category_path string, "
         "custom_fields_json string"
     ),
@@ -151,7 +151,7 @@ TABLES = {
 # Folder layout of the written tables; unlisted tables are not partitioned.
 PARTITIONS = {
     "ods_amz_all_orders_report": ["store_name", "report_month"],
-    "ods_lx_product_performance_monthly_msku": ["report_month", "sid"],
+    "ods_product_performance_monthly_msku": ["report_month", "sid"],
     "dwd_amz_order_attribution_base": ["order_month", "store_name"],
     "dws_amz_ad_order_demand_daily": ["order_month", "store_name"],
     "dws_amz_ad_order_demand_monthly": ["order_month", "store_name"],

@@ -9,6 +9,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from merchlens.functions.text import LOOSE
+
 
 def month_start(value: str | dt.date) -> dt.date:
     if isinstance(value, dt.date):
@@ -61,6 +63,14 @@ class Scope:
             return name.isin(list(self.stores))
         return F.collate(name, collation).isin(list(self.stores))
 
+    def fold_store(self, df: DataFrame, store: str = "store_name") -> DataFrame:
+        """Rows of the scope's stores, whatever the case of the name, under the name the scope gives."""
+        if self.stores is None:
+            return df
+        name = F.collate(F.col(store), LOOSE)
+        known = F.coalesce(*[F.when(name == s, F.lit(s)) for s in self.stores])
+        return df.filter(self.store_filter(store, LOOSE)).withColumn(store, known)
+
     def apply(self, df: DataFrame, month: str = "order_month", store: str = "store_name") -> DataFrame:
         return df.filter(self.month_filter(month) & self.store_filter(store))
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,16 +28,8 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """Folder for materialised intermediates: the shared one the cluster names.
-
-    Only a local session without the setting gets a temporary folder of its own.
-    """
-    root = spark.conf.get(CHECKPOINT_DIR, None)
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder every executor can reach")
-        root = tempfile.mkdtemp(prefix="merchlens-")
-        spark.conf.set(CHECKPOINT_DIR, root)
+    """Folder for materialised intermediates: the shared one the cluster names, or one in the warehouse folder."""
+    root = spark.conf.get(CHECKPOINT_DIR, None) or f"{spark.conf.get('spark.sql.warehouse.dir')}/scratch"
     return f"{root.rstrip('/')}/{SCRATCH_FOLDER}/{spark.sparkContext.applicationId}"
 
 
@@ -59,16 +50,3 @@ def drop_scratch(spark: SparkSession) -> None:
     root = scratch_root(spark)
     path = spark._jvm.org.apache.hadoop.fs.Path(root)
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
-
-
-def input_bytes(df: DataFrame) -> int | None:
-    """Bytes of the relations ``df`` reads, or None where the session cannot tell."""
-    try:
-        leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
-    except AttributeError:
-        return None
-    sizes = {}
-    for i in range(leaves.size()):
-        leaf = leaves.apply(i)
-        sizes[i] = int(str(leaf.stats().sizeInBytes()))
-    return sum(sizes.values())

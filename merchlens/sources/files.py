@@ -15,14 +15,15 @@ STORE_CODES = {"JQ": "JQ-US", "MT": "MT-US", "RKZ": "RKZ-US", "SY": "SY-US"}
 
 def discover_files(spark: SparkSession, root: str, recursive: bool = True) -> DataFrame:
     """Path, length and modification time of the ``*.txt`` files below ``root``, by path."""
-    last = root.rstrip("/").rsplit("/", 1)[-1]
-    if re.search(r"\.[^.]+$", last) and not last.lower().endswith(".txt"):
+    place = spark._jvm.org.apache.hadoop.fs.Path(root)
+    single = place.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(place).isFile()
+    if single and not root.lower().endswith(".txt"):
         raise ValueError(f"not a TXT file: {root}")
+    reader = spark.read.format("binaryFile")
+    if not single:
+        reader = reader.option("pathGlobFilter", "*.txt").option("recursiveFileLookup", str(recursive).lower())
     return (
-        spark.read.format("binaryFile")
-        .option("pathGlobFilter", "*.txt")
-        .option("recursiveFileLookup", str(recursive).lower())
-        .load(root)
+        reader.load(root)
         .select("path", "length", "modificationTime")
         .orderBy("path")
     )
@@ -62,6 +63,7 @@ def store_from_name(path: Column, store_map: dict[str, str]) -> Column:
 def month_from_name(path: Column) -> Column:
     """``20yy[-_]mm`` anywhere in the stem, else a free-standing ``yymm``; null if neither."""
     name = stem(path)
+    # The two forms of a month in a file name.
     long_form = r"(20\d{2})[-_]?(0[1-9]|1[0-2])"
     short_form = r"(?<!\d)(\d{2})(0[1-9]|1[0-2])(?!\d)"
 
@@ -76,6 +78,7 @@ def month_from_name(path: Column) -> Column:
     return F.coalesce(date_of(long_form, ""), date_of(short_form, "20"))
 
 
+# Fixed value: the form of monthly file names.
 MONTHLY_NAME = r"(?i)^(JQ|MT|RKZ|SY)(\d{2})(\d{2})(?:-|$)"
 
 
@@ -99,6 +102,7 @@ def batch_number(store: Column, month: Column, sha256: Column, stamp: str) -> Co
 
 
 HEAD_BYTES = 65536
+JAVA_CHARSETS = "spark.sql.legacy.javaCharsets"
 
 
 def head_bytes(spark: SparkSession, path: str, size: int = HEAD_BYTES) -> bytes:
@@ -136,9 +140,8 @@ def sniff_delimiter(text: str) -> str:
 
 
 def normalize_header(name: str) -> str:
-    name = re.sub(r"[- /]", "_", name.strip().lstrip("﻿"))
-    name = re.sub(r"[^0-9A-Za-z_一-鿿]+", "_", name)
-    return re.sub(r"_+", "_", name).strip("_").lower()
+    """Lower-case column name: every run of other characters than letters, digits and CJK is one underscore."""
+    return "_".join(filter(None, re.split(r"[^0-9A-Za-z一-鿿]+", name))).lower()
 
 
 def number_rows(rows: DataFrame) -> DataFrame:
@@ -155,14 +158,15 @@ def number_rows(rows: DataFrame) -> DataFrame:
     )
     before = Window.partitionBy("_path").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     offsets = blocks.select(
-        "_path", "_block", "_first", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before")
+        "_path", "_block", "_first", "_rows", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before")
     )
     number = F.col("_place") - F.col("_first") + F.col("_before") + 1
-    checked = F.when(number >= 1, number).otherwise(F.raise_error(F.lit("file blocks changed during the read")))
+    inside = (number > F.col("_before")) & (number <= F.col("_before") + F.col("_rows"))
+    checked = F.when(inside, number).otherwise(F.raise_error(F.lit("file blocks changed during the read")))
     return (
         rows.join(offsets, ["_path", "_block"], "left")
         .withColumn("source_row_no", checked.cast("bigint"))
-        .drop("_first", "_before", "_place", "_block")
+        .drop("_first", "_rows", "_before", "_place", "_block")
     )
 
 
@@ -173,10 +177,17 @@ def text_lines(spark: SparkSession, paths: list[str] | str, charset: str, keep_b
     equals a line break there.
     """
     line = F.col("value")
-    if charset != "UTF-8":
-        spark.conf.set("spark.sql.legacy.javaCharsets", "true")
-        line = F.decode(line.cast("binary"), charset)
-    rows = spark.read.text(paths).select(line.alias("line"), *scan_position())
+    if charset == "UTF-8":
+        rows = spark.read.text(paths).select(line.alias("line"), *scan_position())
+    else:
+        # The setting is read when the expression is built; the session is left as it was.
+        before = spark.conf.get(JAVA_CHARSETS, "false")
+        spark.conf.set(JAVA_CHARSETS, "true")
+        try:
+            decoded = F.decode(line.cast("binary"), charset)
+            rows = spark.read.text(paths).select(decoded.alias("line"), *scan_position())
+        finally:
+            spark.conf.set(JAVA_CHARSETS, before)
     if not keep_blank:
         rows = rows.filter(F.col("line") != "")
     numbered = number_rows(rows)

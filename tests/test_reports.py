@@ -173,7 +173,6 @@ PAGES = [
         {"price_list": [], "msku": "  "}, "junk", {"asins": [{"asin": "B9"}]}], total=5)),
     (2, page([{"msku": "M1", "volume": 99}])), (3, json.dumps({"data": [{"msku": "m1", "volume": 4}]})),
     (4, json.dumps({"code": 0, "data": {"rows": [{"msku": "M5"}], "list": []}})),
-    (5, page([{"msku": "BAD"}], code="103")), (6, "not json"),
 ]
 
 
@@ -185,8 +184,8 @@ def landed(spark, month=dt.date(2025, 1, 1), rows=PAGES):
 def test_performance_import(spark, tmp_path):
     wh = warehouse(spark, tmp_path)
     log = import_performance(wh, landed(spark), dt.date(2025, 1, 20))
-    assert rows_of(log, "status", "interface_total", "fetched_rows", "written_rows") == [("SUCCESS", 5, 7, 4)]
-    table = wh.read("ods_lx_product_performance_monthly_msku")
+    assert rows_of(log, "status", "interface_total", "fetched_rows", "written_rows") == [("SUCCESS", 5, 4, 4)]
+    table = wh.read("ods_product_performance_monthly_msku")
     assert rows_of(table, "msku", "sku", "asin", "volume", "period_end") == [
         ("M1", None, None, 99, dt.date(2025, 1, 20)), ("M2", "S2", "B2", 1, dt.date(2025, 1, 20)),
         ("M5", None, None, None, dt.date(2025, 1, 20)), ("m1", None, None, 4, dt.date(2025, 1, 20))]
@@ -200,8 +199,27 @@ def test_performance_import(spark, tmp_path):
     assert import_performance(wh, landed(spark, rows=[(1, page([{"msku": "Z"}]))]), dt.date(2025, 2, 2)).count() == 0
     import_performance(wh, landed(spark, dt.date(2025, 2, 1), [(1, page([{"msku": "Z"}]))]), dt.date(2025, 2, 2))
     import_performance(wh, landed(spark, rows=[(1, page([]))]), dt.date(2025, 2, 2), force=True)
-    assert rows_of(wh.read("ods_lx_product_performance_monthly_msku"), "report_month", "msku") == [(dt.date(2025, 2, 1), "Z")]
-    assert wh.read("etl_lx_product_performance_monthly_log").count() == 2
+    assert rows_of(wh.read("ods_product_performance_monthly_msku"), "report_month", "msku") == [(dt.date(2025, 2, 1), "Z")]
+    assert wh.read("etl_product_performance_monthly_log").count() == 2
+
+
+@pytest.mark.parametrize("rows, reason", [
+    ([(1, page([{"msku": "A"}], total=2)), (2, page([{"msku": "BAD"}], code="103"))], "page 2: code 103"),
+    ([(1, page([{"msku": "A"}])), (2, "not json")], "page 2: no JSON"),
+    ([(1, page([{"msku": "A"}])), (3, page([{"msku": "B"}]))], "1 pages are missing"),
+    ([(2, page([{"msku": "A"}]))], "pages start at 2"),
+    ([(1, page([{"msku": "A"}], total=2))], "1 of 2 rows"),
+])
+def test_incomplete_month_keeps_the_old_rows(spark, tmp_path, rows, reason):
+    wh, month = warehouse(spark, tmp_path), dt.date(2025, 3, 1)
+    import_performance(wh, landed(spark, month, [(1, page([{"msku": "OLD"}]))]), dt.date(2025, 4, 2))
+    log = import_performance(wh, landed(spark, month, rows), dt.date(2025, 4, 3), force=True)
+    assert rows_of(log, "status", "error_message", "written_rows") == [("FAILED", reason, 0)]
+    assert rows_of(wh.read("ods_product_performance_monthly_msku"), "msku") == [("OLD",)]
+    # A failed month is taken up again without being forced.
+    whole = landed(spark, month, [(1, page([{"msku": "A"}, {"msku": "B"}], total=2))])
+    assert rows_of(import_performance(wh, whole, dt.date(2025, 4, 4)), "status", "written_rows") == [("SUCCESS", 2)]
+    assert rows_of(wh.read("ods_product_performance_monthly_msku"), "msku") == [("A",), ("B",)]
 
 
 def test_pages_are_read_from_folders(spark, tmp_path):
