@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 import codecs
-import csv
+import hashlib
 import re
+from urllib.parse import quote
 
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -16,11 +19,12 @@ STORE_CODES = {"JQ": "JQ-US", "MT": "MT-US", "RKZ": "RKZ-US", "SY": "SY-US"}
 def discover_files(spark: SparkSession, root: str, recursive: bool = True) -> DataFrame:
     """Path, length and modification time of the ``*.txt`` files below ``root``, by path."""
     place = spark._jvm.org.apache.hadoop.fs.Path(root)
-    single = place.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(place).isFile()
-    if single and not root.lower().endswith(".txt"):
+    system = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    folder = system.exists(place) and system.getFileStatus(place).isDirectory()
+    if not folder and re.search(r"\.[^./]+$", root) and not root.lower().endswith(".txt"):
         raise ValueError(f"not a TXT file: {root}")
     reader = spark.read.format("binaryFile")
-    if not single:
+    if folder or not root.lower().endswith(".txt"):
         reader = reader.option("pathGlobFilter", "*.txt").option("recursiveFileLookup", str(recursive).lower())
     return (
         reader.load(root)
@@ -30,10 +34,26 @@ def discover_files(spark: SparkSession, root: str, recursive: bool = True) -> Da
 
 
 def file_hashes(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """SHA-256 per file. A hash runs over a file in order, so each file is one row here."""
-    return spark.read.format("binaryFile").load(paths).select(
-        "path", "length", F.sha2("content", 256).alias("source_file_sha256")
-    )
+    """Length and SHA-256 per file. A hash runs over a file in order: one task reads it, a piece at a time."""
+    def of(batches):
+        for batch in batches:
+            rows = []
+            for path in batch.column(0).to_pylist():
+                system, name = (
+                    (fs.LocalFileSystem(), re.sub("^file:/*", "/", path)) if re.match("file:|/", path)
+                    else fs.FileSystem.from_uri(quote(path, safe=":/%@?=&"))
+                )
+                digest, length = hashlib.sha256(), 0
+                with system.open_input_stream(name, compression=None) as stream:
+                    while piece := stream.read(1 << 20):
+                        digest.update(piece)
+                        length += len(piece)
+                rows.append((path, length, digest.hexdigest()))
+            columns = [pa.array(c) for c in zip(*rows, strict=True)] if rows else [pa.array([], t) for t in (pa.string(), pa.int64(), pa.string())]
+            yield pa.RecordBatch.from_arrays(columns, ["path", "length", "source_file_sha256"])
+
+    listed = spark.createDataFrame([(p,) for p in paths], "path string").repartition(max(1, min(len(paths), 1000)), "path")
+    return listed.mapInArrow(of, "path string, length bigint, source_file_sha256 string")
 
 
 def file_name(path: Column) -> Column:
@@ -101,8 +121,9 @@ def batch_number(store: Column, month: Column, sha256: Column, stamp: str) -> Co
     )
 
 
-HEAD_BYTES = 65536
 JAVA_CHARSETS = "spark.sql.legacy.javaCharsets"
+# What is read of a file at first to find its header; more is read until the header is complete.
+HEAD_BYTES = 65536
 
 
 def head_bytes(spark: SparkSession, path: str, size: int = HEAD_BYTES) -> bytes:
@@ -116,27 +137,82 @@ def head_bytes(spark: SparkSession, path: str, size: int = HEAD_BYTES) -> bytes:
         stream.close()
 
 
-def sniff_charset(head: bytes) -> str:
-    """UTF-16 by its mark, else UTF-8, else GB18030. A character cut at the end is no error."""
-    if head[:2] in (b"\xff\xfe", b"\xfe\xff"):
-        return "UTF-16"
-    for name in ("utf-8", "gb18030"):
-        try:
-            codecs.getincrementaldecoder(name)().decode(head, final=False)
-            return name.upper()
-        except UnicodeDecodeError:
-            continue
-    raise ValueError("unknown text encoding; UTF-8, UTF-16 and GB18030 are supported")
+def read_lines(spark: SparkSession, paths: list[str] | str, charset: str, *more: Column) -> DataFrame:
+    """Column ``line`` of text files, split between tasks. Bytes that do not decode fail the job.
 
+    GB18030 is decoded from the raw bytes of each line: no part of a character
+    equals a line break there.
+    """
+    if charset == "UTF-8":
+        return spark.read.text(paths).select(F.col("value").alias("line"), *more)
+    # The setting is read when the expression is built; the session is left as it was.
+    before = spark.conf.get(JAVA_CHARSETS, "false")
+    spark.conf.set(JAVA_CHARSETS, "true")
+    try:
+        decoded = F.decode(F.col("value").cast("binary"), charset)
+        return spark.read.text(paths).select(decoded.alias("line"), *more)
+    finally:
+        spark.conf.set(JAVA_CHARSETS, before)
 
-def sniff_delimiter(text: str) -> str:
-    lines = text.splitlines()
-    if lines and "\t" in lines[0]:
-        return "\t"
+
+def quotes(line: Column) -> Column:
+    return F.octet_length(line) - F.octet_length(F.replace(line, F.lit('"'), F.lit("")))
+
+
+def inspect_text(spark: SparkSession, path: str) -> tuple[str, bool]:
+    """Charset of a whole file, and whether some line ends within quotes; one pass over every line.
+
+    UTF-16 by its mark; UTF-8 if all of it is valid UTF-8; else GB18030 if all of it decodes so.
+    """
+    if head_bytes(spark, path, 2) in (b"\xff\xfe", b"\xfe\xff"):
+        return "UTF-16", True
+    seen = spark.read.text(path).agg(
+        F.bool_and(F.is_valid_utf8("value")).alias("utf8"), F.bool_or(quotes(F.col("value")) % 2 == 1).alias("broken")
+    ).first()
+    if seen.utf8 is not False:
+        return "UTF-8", bool(seen.broken)
     try:
-        return csv.Sniffer().sniff(text[:8192], delimiters="\t,;|").delimiter
-    except csv.Error as error:
-        raise ValueError("unknown delimiter; order reports are tab separated") from error
+        read_lines(spark, path, "GB18030").agg(F.max(F.length("line"))).collect()
+    except Exception as error:
+        if "MALFORMED_CHARACTER" not in str(error):
+            raise
+        raise ValueError("unknown text encoding; UTF-8, UTF-16 and GB18030 are supported") from error
+    return "GB18030", bool(seen.broken)
+
+
+def first_record(text: str) -> str | None:
+    """The first line of ``text`` that is not blank, with breaks within quotes; None if its end is not there."""
+    text = text.lstrip("\ufeff\r\n")
+    inside = False
+    for i, c in enumerate(text):
+        if c == '"':
+            inside = not inside
+        elif c in "\r\n" and not inside:
+            return text[:i]
+    return None
+
+
+def header_record(spark: SparkSession, path: str, charset: str) -> str:
+    """The complete first record of a file, however long."""
+    size = HEAD_BYTES
+    while True:
+        head = head_bytes(spark, path, size)
+        text = codecs.getincrementaldecoder(charset)(errors="strict").decode(head, final=False)
+        found = first_record(text)
+        if found is not None or len(head) < size:
+            return text.lstrip("\ufeff\r\n").rstrip("\r\n") if found is None else found
+        size *= 4
+
+
+def sniff_delimiter(header: str) -> str:
+    """Tab if the header has one outside quotes, else the most frequent of comma, semicolon and bar there."""
+    outside = "".join(header.split('"')[::2])
+    if "\t" in outside:
+        return "\t"
+    best = max(",;|", key=outside.count)
+    if best not in outside:
+        raise ValueError("unknown delimiter; order reports are tab separated")
+    return best
 
 
 def normalize_header(name: str) -> str:
@@ -171,23 +247,8 @@ def number_rows(rows: DataFrame) -> DataFrame:
 
 
 def text_lines(spark: SparkSession, paths: list[str] | str, charset: str, keep_blank: bool) -> DataFrame:
-    """Numbered lines of text files, split between tasks. Column ``line``.
-
-    GB18030 is decoded from the raw bytes of each line: no part of a character
-    equals a line break there.
-    """
-    line = F.col("value")
-    if charset == "UTF-8":
-        rows = spark.read.text(paths).select(line.alias("line"), *scan_position())
-    else:
-        # The setting is read when the expression is built; the session is left as it was.
-        before = spark.conf.get(JAVA_CHARSETS, "false")
-        spark.conf.set(JAVA_CHARSETS, "true")
-        try:
-            decoded = F.decode(line.cast("binary"), charset)
-            rows = spark.read.text(paths).select(decoded.alias("line"), *scan_position())
-        finally:
-            spark.conf.set(JAVA_CHARSETS, before)
+    """Numbered lines of text files, split between tasks. Column ``line``."""
+    rows = read_lines(spark, paths, charset, *scan_position())
     if not keep_blank:
         rows = rows.filter(F.col("line") != "")
     numbered = number_rows(rows)
@@ -195,6 +256,39 @@ def text_lines(spark: SparkSession, paths: list[str] | str, charset: str, keep_b
     return numbered.withColumn("line", F.coalesce(mark, "line"))
 
 
+def text_records(spark: SparkSession, paths: list[str] | str, charset: str) -> DataFrame:
+    """Numbered records whose quoted fields may hold line breaks, split between tasks. Column ``line``.
+
+    A line begins a record if an even number of quotes stands before it: within its block by a window
+    (a block is bounded), before its block by the sums of the blocks. Lines of a record are then put
+    together; blank lines between records are left out.
+    """
+    rows = read_lines(spark, paths, charset, *scan_position()).withColumn("_quotes", quotes(F.col("line")))
+    in_block = Window.partitionBy("_path", "_block").orderBy("_place")
+    before = Window.partitionBy("_path").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = in_block.rowsBetween(Window.unboundedPreceding, -1)
+
+    def ahead(df: DataFrame, column: str, name: str) -> DataFrame:
+        """Add the sum of ``column`` over all lines of the file before this one."""
+        blocks = df.groupBy("_path", "_block").agg(F.sum(column).alias("_sum")).select(
+            "_path", "_block", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_ahead")
+        )
+        own = F.coalesce(F.sum(column).over(earlier), F.lit(0))
+        return df.withColumn("_own", own).join(blocks, ["_path", "_block"]).withColumn(
+            name, F.col("_own") + F.col("_ahead")
+        ).drop("_own", "_ahead")
+
+    marked = ahead(rows, "_quotes", "_open").withColumn("_starts", (F.col("_open") % 2 == 0).cast("int"))
+    marked = marked.filter(~((F.col("_starts") == 1) & (F.ltrim(F.col("line"), F.lit("\ufeff")) == "")))
+    numbered = ahead(marked, "_starts", "_before").withColumn("source_row_no", F.col("_before") + F.col("_starts"))
+    pieces = F.array_sort(F.collect_list(F.struct("_block", "_place", "line")))
+    records = numbered.groupBy("_path", "source_row_no").agg(
+        F.array_join(F.transform(pieces, lambda x: x["line"]), "\n").alias("line")
+    )
+    mark = F.when(F.col("source_row_no") == 1, F.ltrim(F.col("line"), F.lit("\ufeff")))
+    return records.withColumn("line", F.coalesce(mark, "line"))
+
+
 def parse_line(names: list[str], delimiter: str, bad: str | None = None) -> Column:
     """Fields of ``line`` as a struct of text columns; ``bad`` is set on a row of another width."""
     fields = [f"`{n}` string" for n in names]

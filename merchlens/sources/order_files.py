@@ -129,13 +129,12 @@ def insert_columns(
 
 def read_monthly(spark: SparkSession, path: str) -> tuple[DataFrame, list[str]]:
     """Stripped text rows of a monthly file with record numbers, and its normalised header."""
-    head = files.head_bytes(spark, path)
-    charset = files.sniff_charset(head)
-    start = head.decode(charset, errors="ignore").lstrip("﻿")
+    charset, broken = files.inspect_text(spark, path)
+    start = files.header_record(spark, path, charset)
     if not start.strip():
         raise ValueError(f"{path} has no header")
     delimiter = files.sniff_delimiter(start)
-    names = next(csv.reader(io.StringIO(start), delimiter=delimiter))
+    names = next(csv.reader(io.StringIO(start, newline=""), delimiter=delimiter))
     header = [files.normalize_header(n) for n in names]
     # Of equal names the last column counts.
     columns = [n if n not in header[i + 1:] else f"_dropped_{i}" for i, n in enumerate(header)]
@@ -150,15 +149,13 @@ def read_monthly(spark: SparkSession, path: str) -> tuple[DataFrame, list[str]]:
         numbered = files.number_rows(rows.select("*", *files.scan_position()))
         rows = numbered.withColumn("source_row_no", F.col("source_row_no") + 1)
     else:
-        lines = files.text_lines(spark, path, charset, keep_blank=False).filter("source_row_no > 1")
-        rows = lines.withColumn("row", files.parse_line(columns, delimiter)).select(
+        # Only a file with breaks inside quotes needs its lines put together.
+        lines = files.text_records(spark, path, charset) if broken else files.text_lines(spark, path, charset, False)
+        rows = lines.filter("source_row_no > 1").withColumn("row", files.parse_line(columns, delimiter)).select(
             "_path", "source_row_no", *[F.col(f"row.`{n}`").alias(n) for n in columns]
         )
-    not_blank = F.lit(False)
-    for name in kept:
-        not_blank = not_blank | (text.strip(f"`{name}`") != "")
     clean = [text.strip(f"`{name}`").alias(name) for name in kept]
-    return rows.filter(not_blank).select("_path", "source_row_no", *clean), kept
+    return rows.filter(F.concat_ws("", *clean) != "").select("_path", "source_row_no", *clean), kept
 
 
 def synthetic_item_id(

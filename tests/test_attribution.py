@@ -311,6 +311,27 @@ def test_job_reclassifies_without_allocating(spark, tmp_path):
     assert rows_of(wh.read("dws_amz_ad_allocation_monthly_audit"), "total_allocated") == [(2,)]
 
 
+def test_stores_and_ad_types_compare_without_case(spark, tmp_path):
+    from merchlens.plans.attribution import default_scope
+
+    wh = warehouse(spark, tmp_path)
+    wh.append("ods_ad_spend_daily", spend(spark, [dict(orders=2, ad_type="sp")]))
+    assert default_scope(wh, RULES["v1"]).stores is not None
+    names = [r.store_name for r in wh.read("ods_ad_spend_daily").collect()]
+    scope = Scope.of("2000-01-01", "2100-01-01", names[0].upper())
+    mixed = spark.createDataFrame([(names[0].lower(),), (names[0].upper(),), ("other",)], "store_name string")
+    assert [r[0] for r in scope.fold_store(mixed).collect()] == [names[0].upper()] * 2
+
+
+def test_rollup_needs_no_expand(spark):
+    from merchlens.operators.rollup import source_monthly
+
+    rows = spark.createDataFrame(
+        [], "order_month date, store_name string, main_order_type string, onsite_promotion_flag boolean, "
+        "amazon_order_id string, sku_key string, quantity bigint, gross_item_sales decimal(18,4), net_item_sales decimal(18,4)")
+    assert "Expand" not in source_monthly(rows, RULES["v5"])._jdf.queryExecution().executedPlan().toString()
+
+
 def test_invariants_on_the_tables(spark, folder):
     from merchlens.session import materialize
     from merchlens.sources import star_tables as star

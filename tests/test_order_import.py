@@ -271,11 +271,75 @@ def test_names(spark):
     ]
 
 
+def test_charset_is_that_of_the_whole_file(spark, tmp_path):
+    plain = "amazon-order-id\tsku\n" + "A\tB\n" * 30_000
+    for charset, mark in (("utf-8", "UTF-8"), ("gb18030", "GB18030"), ("utf-16", "UTF-16")):
+        path = tmp_path / f"{charset}.txt"
+        path.write_bytes((plain + "A\t上海市\n").encode(charset))
+        assert files.inspect_text(spark, str(path))[0] == mark
+        rows, header = order_files.read_monthly(spark, str(path))
+        last = rows.filter("source_row_no > 30000").orderBy("source_row_no").collect()
+        assert header == ["amazon_order_id", "sku"] and last[-1].sku == "上海市" and last[-1].source_row_no == 30_002
+    assert spark.conf.get(files.JAVA_CHARSETS, "false") == "false"
+    mixed = tmp_path / "mixed.txt"
+    mixed.write_bytes(plain.encode() + "A\t上海市\n".encode() + b"A\t\xff\xff\n")
+    with pytest.raises(ValueError, match="unknown text encoding"):
+        order_files.read_monthly(spark, str(mixed))
+
+
+def test_long_header_and_quoted_breaks(spark, tmp_path):
+    names = [f"column-{i}-{'x' * 2000}" for i in range(40)]
+    wide = tmp_path / "wide.txt"
+    wide.write_text("\t".join(names) + "\n" + "\t".join(map(str, range(40))) + "\n")
+    rows, header = order_files.read_monthly(spark, str(wide))
+    assert len(header) == 40 and rows.first()[header[-1]] == "39"
+    for charset in ("utf-8", "gb18030"):
+        path = tmp_path / f"{charset}.txt"
+        path.write_bytes('sku,"note\nof line",asin\n"A","two\n\nlines, 上海",1\n\nB,"say ""x""",2\n"C","open\nend",3\n'.encode(charset))
+        rows, header = order_files.read_monthly(spark, str(path))
+        assert header == ["sku", "note_of_line", "asin"]
+        assert rows_of(rows, "source_row_no", *header) == [
+            (2, "A", "two\n\nlines, 上海", "1"), (3, "B", 'say "x"', "2"), (4, "C", "open\nend", "3")]
+
+
+def test_good_files_load_beside_a_bad_one(spark, tmp_path):
+    src = tmp_path / "in.v2"
+    src.mkdir()
+    write_report(src / "SY2501.txt", [report_line()])
+    write_report(src / "SY2502.txt", [report_line(), report_line(quantity="bad")])
+    wh = warehouse(spark, tmp_path)
+    with pytest.raises(oi.ImportRefused, match="row 3"):
+        oi.import_strict(wh, str(src), MAP)
+    assert wh.read(oi.ORDERS_TABLE).count() == 1
+    assert rows_of(wh.read(oi.LOG_TABLE), "source_file", "status", "total_rows") == [
+        ("SY2501.txt", "success", 1), ("SY2502.txt", "failed", 0)]
+    told = wh.read(oi.LOG_TABLE).filter("status = 'failed'").first().error_message
+    assert told.startswith("row 3: ") and told.endswith("(1 bad rows)")
+    rejects = oi.strict_rejects(spark, str(src)).collect()
+    assert [(r.path.rsplit("/", 1)[-1], r.source_row_no) for r in rejects] == [("SY2502.txt", 3)]
+    assert files.discover_files(spark, str(src / "SY2501.txt")).count() == 1
+
+
+def test_the_later_path_wins(spark, tmp_path):
+    for folder, name, price in (("a", "SY-2025-03.txt", "1.00"), ("b", "SY-2025-01.txt", "2.00")):
+        (tmp_path / "in" / folder).mkdir(parents=True)
+        write_report(tmp_path / "in" / folder / name, [report_line(**{"item-price": price})])
+    wh = warehouse(spark, tmp_path)
+    oi.import_strict(wh, str(tmp_path / "in"), MAP)
+    assert rows_of(wh.read(oi.ORDERS_TABLE), "item_price") == [(Decimal("2.0000"),)]
+
+
+def test_file_hash_is_sha256(spark, tmp_path):
+    import hashlib
+
+    path = tmp_path / "a b+%20.txt"
+    path.write_bytes(b"x" * 3_000_000)
+    row = files.file_hashes(spark, [f"file:{path}"]).first()
+    assert (row.length, row.source_file_sha256) == (3_000_000, hashlib.sha256(b"x" * 3_000_000).hexdigest())
+
+
 def test_sniffing():
-    text = "数据" * 2000
-    assert files.sniff_charset(text.encode("utf-8")[:4096]) == "UTF-8"
-    assert files.sniff_charset(text.encode("gb18030")) == "GB18030"
-    assert files.sniff_charset(text.encode("utf-16")) == "UTF-16"
+    assert files.sniff_delimiter('"a,b";c;d') == ";" and files.sniff_delimiter('a\t"b;c;d"') == "\t"
     assert files.normalize_header("﻿Amazon-Order ID（新）/x") == "amazon_order_id_新_x"
     with pytest.raises(ValueError):
         files.sniff_delimiter("abc")
