@@ -169,6 +169,8 @@ def brute_windows(text, item):
     if not b or not w:
         return 0.0
     width, n = min(5, len(b)), min(len(b), len(w))
+    if not set(zip(*(w[i:] for i in range(width)), strict=False)) & set(zip(*(b[i:] for i in range(width)), strict=False)):
+        return 0.0  # nothing in common
     return max(decontaminate.similarity(w[i : i + n], b, width) for i in range(len(w) - n + 1)) if n >= width else 0.0
 
 

@@ -44,6 +44,6 @@ def test_stages(spark, folder):
 def test_stages_on_awkward_rows(spark, folder):
     for rows in (documents(spark), documents(spark, [])):
         docs = rows
-        for _, stage in corpus_pipeline.STAGES:
-            docs = stage(spark, docs, folder)
+        for name, stage in corpus_pipeline.STAGES:
+            docs = store(stage(spark, docs, folder), f"odd-{name}")
         docs.collect()
