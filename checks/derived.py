@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import uuid
+from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from merchlens.session import scratch_root
@@ -119,11 +120,19 @@ def performance_pages(spark: SparkSession, folder: str) -> DataFrame:
     return landed.select("report_month", "sid", "store_name", "page", body.alias("body"))
 
 
-def write_reports(spark: SparkSession, folder: str) -> str:
-    """Strict order reports of the order lines, one folder per store; returns the root folder."""
-    lines = star.order_lines(spark, folder)
+def _write_text(report: DataFrame, root: str) -> None:
+    """Tab-separated text below a folder per store; values with a line break are quoted."""
+    (
+        report.write.partitionBy("store").option("sep", "\t").option("header", True)
+        .option("quote", '"').option("escape", '"').option("emptyValue", "")
+        .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+        .option("extension", "txt").csv(root)
+    )
+
+
+def _strict_report(lines: DataFrame, order_id: Column) -> DataFrame:
     values = {
-        "amazon-order-id": F.col("amazon_order_id"),
+        "amazon-order-id": order_id,
         "purchase-date": F.concat(F.date_format("purchase_date_utc", "yyyy-MM-dd'T'HH:mm:ss"), F.lit("+00:00")),
         "order-status": F.col("order_status"), "sales-channel": F.col("sales_channel"), "sku": F.col("sku"),
         "item-status": F.col("item_status"), "quantity": F.col("quantity").cast("string"),
@@ -132,15 +141,55 @@ def write_reports(spark: SparkSession, folder: str) -> str:
         "promotion-ids": F.col("promotion_ids"),
         "order-item-id": F.concat_ws("-", "order_item_id", "l_partkey", "l_suppkey", "item_price", "quantity"),
     }
-    report = lines.select(
+    return lines.select(
         F.replace("store_name", F.lit(" "), F.lit("_")).alias("store"),
         *[values.get(h, F.lit("")).alias(h) for h in ORDER_HEADERS],
     )
+
+
+def write_reports(spark: SparkSession, folder: str) -> str:
+    """Strict order reports of the order lines, one folder per store; returns the root folder."""
     root = f"{scratch_root(spark)}/reports-{uuid.uuid4().hex}"
-    (
-        report.write.partitionBy("store").option("sep", "\t").option("header", True)
-        .option("quote", '"').option("escape", '"').option("emptyValue", "")
-        .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
-        .option("extension", "txt").csv(root)
-    )
+    _write_text(_strict_report(star.order_lines(spark, folder), F.col("amazon_order_id")), root)
     return root
+
+
+def write_bad_reports(spark: SparkSession, folder: str) -> str:
+    """The same with one file per store; lines of one store lack their order id now and then."""
+    lines = star.order_lines(spark, folder)
+    bad = (F.col("store_name") == "ASIA-US") & (F.col("l_partkey") % 97 == 0)
+    root = f"{scratch_root(spark)}/bad-reports-{uuid.uuid4().hex}"
+    report = _strict_report(lines, F.when(bad, "").otherwise(F.col("amazon_order_id")))
+    _write_text(report.repartition(len(STORES), "store"), root)
+    return root
+
+
+def write_monthly(spark: SparkSession, folder: str, first_lines_only: bool = False) -> dict[str, str]:
+    """A cumulative file per store, all lines moved into one month; file path by store name.
+
+    Lines stand in a fixed order and have no item id; some promotion texts hold a line break.
+    ``first_lines_only`` is the earlier delivery of the same month.
+    """
+    lines = star.order_lines(spark, folder)
+    if first_lines_only:
+        lines = lines.filter("l_linenumber = 1")
+    key = F.col("amazon_order_id").cast("bigint")
+    at = F.make_timestamp_ntz(
+        F.lit(1996), F.lit(5), (key % 28 + 2).cast("int"), (key % 24).cast("int"), F.lit(0), F.lit(0)
+    )
+    report = lines.select(
+        F.replace("store_name", F.lit(" "), F.lit("_")).alias("store"),
+        F.col("amazon_order_id").alias("Amazon Order-ID"), F.date_format(at, "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("purchase_date_utc"),
+        F.trim("sku").alias("Seller SKU"), F.col("quantity").cast("string").alias("quantity"),
+        F.col("item_price").cast("decimal(18,2)").cast("string").alias("item-price"),
+        F.replace("promotion_ids", F.lit(" "), F.lit("\n")).alias("promotion ids"), "order_status", "currency",
+    )
+    columns = report.columns[1:]
+    report = report.repartition(len(STORES), "store").sortWithinPartitions(
+        "store", key, *[F.coalesce(F.col(f"`{c}`"), F.lit("")) for c in columns[1:]]
+    )
+    root = f"{scratch_root(spark)}/monthly-{uuid.uuid4().hex}"
+    _write_text(report, root)
+    # One file per store of the list above.
+    names = {f"store={s.replace(' ', '_')}": s for s in STORES}
+    return {names[unquote(f).split("/")[-2]]: unquote(f) for f in spark.read.text(root).inputFiles()}

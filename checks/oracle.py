@@ -763,3 +763,53 @@ WHERE NOT EXISTS (SELECT 1 FROM performance p WHERE p.report_month = m.report_mo
 oracle("unknown_stores", """
 SELECT DISTINCT lower(c_mktsegment) || '-us' AS store_name FROM customer
 WHERE upper(c_mktsegment) || '-US' NOT IN (SELECT store_name FROM order_lines)""", "order_lines")
+oracle("scoped_source_monthly", """
+SELECT order_month, CASE store_name WHEN 'EUROPE-US' THEN 'europe-us' ELSE store_name END AS store_name,
+       main_order_type, classified_item_rows, order_sku_count, amazon_order_count, units,
+       CAST(gross_item_sales AS DOUBLE) AS gross_item_sales, CAST(net_item_sales AS DOUBLE) AS net_item_sales
+FROM monthly_v5 WHERE store_name IN ('ASIA-US', 'EUROPE-US')""", "monthly_v5")
+oracle("default_scope_ads", """
+SELECT CAST(date_trunc('month', min(report_date)) AS DATE) AS start_month,
+       CAST(date_trunc('month', max(report_date)) + INTERVAL 1 MONTH AS DATE) AS end_month_exclusive,
+       string_agg(DISTINCT store_name, ',' ORDER BY store_name) AS stores
+FROM ad_spend""", "ad_spend")
+oracle("sheets_written", "SELECT month, main_order_type, order_sku_count, units FROM (" +
+       ORACLE["report_month"] + ")")
+oracle("import_log", """
+SELECT store_name, CASE store_name WHEN 'ASIA-US' THEN 'failed' ELSE 'success' END AS status,
+       CASE store_name WHEN 'ASIA-US' THEN 0 ELSE sum(n) END::BIGINT AS total_rows,
+       CASE store_name WHEN 'ASIA-US' THEN 0 ELSE count(*) END::BIGINT AS stored_rows
+FROM (SELECT store_name, count(*) AS n FROM order_lines
+      GROUP BY store_name, amazon_order_id, order_item_id, l_partkey, l_suppkey, item_price, quantity)
+GROUP BY store_name""", "order_lines")
+oracle("import_rejects", """
+SELECT 'store=ASIA-US' AS folder, 'amazon-order-id is empty' AS reasons, count(*) AS rejected, count(*) AS places
+FROM order_lines WHERE store_name = 'ASIA-US' AND l_partkey % 97 = 0""", "order_lines")
+cte("monthly_lines", """
+SELECT store_name, l_linenumber, CAST(amazon_order_id AS BIGINT) AS k, amazon_order_id, trim(sku) AS sku, quantity,
+       CAST(quantity AS VARCHAR) AS quantity_text, CAST(CAST(item_price AS DECIMAL(18,2)) AS VARCHAR) AS price_text,
+       replace(promotion_ids, ' ', chr(10)) AS promotion_ids, order_status, currency,
+       make_timestamp(1996, 5, CAST(amazon_order_id AS BIGINT) % 28 + 2, CAST(amazon_order_id AS BIGINT) % 24, 0, 0.0)
+         AS bought
+FROM order_lines
+""", "order_lines")
+cte("monthly_numbered", """
+SELECT *, strftime(bought, '%Y-%m-%dT%H:%M:%SZ') AS date_text,
+       row_number() OVER (PARTITION BY store_name ORDER BY k, bought, sku, quantity_text, price_text,
+         coalesce(promotion_ids, ''), order_status, currency) + 1 AS source_row_no
+FROM monthly_lines
+""", "monthly_lines")
+oracle("ingest_monthly", """
+SELECT store_name, DATE '1996-05-01' AS report_month, source_row_no, amazon_order_id,
+       'txt-' || source_row_no || '-' || substr(sha256(concat_ws('|', store_name, '1996-05-01', amazon_order_id, sku, '',
+       date_text, quantity_text, price_text, CAST(source_row_no AS VARCHAR))), 1, 24) AS order_item_id,
+       bought AS purchase_date_utc, sku, quantity, CAST(price_text AS DOUBLE) AS item_price, promotion_ids,
+       order_status, currency
+FROM monthly_numbered""", "monthly_numbered")
+oracle("monthly_precheck", """
+SELECT store_name, count(*) AS input_rows,
+       CASE store_name WHEN 'ASIA-US' THEN count(*) FILTER (WHERE l_linenumber = 1) ELSE 0 END AS old_rows,
+       count(*) FILTER (WHERE quantity = 0) AS zero_rows, FALSE AS applied
+FROM monthly_lines GROUP BY store_name""", "monthly_lines")
+ORACLE["performance_import_rows"] = ORACLE["performance_rows"]
+ORACLE["performance_import_log"] = ORACLE["performance_load_stats"]

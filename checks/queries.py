@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,10 +15,10 @@ from merchlens.functions import convert
 from merchlens.operators import (
     allocate, audit, base, classify, deal_price, demand, rollup, source_report,
 )
-from merchlens.plans import order_import
+from merchlens.plans import attribution, order_import, performance_import, reports
 from merchlens.rules import RULES
 from merchlens.scope import Scope, scope_summary
-from merchlens.session import materialize
+from merchlens.session import materialize, scratch_root
 from merchlens.sources import files, order_files, performance_pages
 from merchlens.sources import star_tables as star
 from merchlens.sources.warehouse import Warehouse
@@ -539,3 +540,136 @@ def unknown_stores(spark, folder):
     known = star.order_lines(spark, folder).select("store_name").distinct()
     return performance_pages.unknown_stores(wanted, known)
 
+
+# --- jobs over a warehouse ---------------------------------------------------------------
+
+def _warehouse(spark):
+    return Warehouse(spark, f"{scratch_root(spark)}/warehouse-{uuid.uuid4().hex}")
+
+
+def _mixed_case(lines):
+    """Store names in two spellings."""
+    name = F.when(F.col("l_partkey") % 2 == 0, F.lower("store_name")).otherwise(F.col("store_name"))
+    return lines.withColumn("store_name", name)
+
+
+@query
+def scoped_source_monthly(spark, folder):
+    """Two stores of a list typed in another case than most order lines have."""
+    scope = Scope.of("1994-12-01", "2002-01-01", "ASIA-US, europe-us")
+    lines = materialize(_mixed_case(star.order_lines(spark, folder)), "order-lines")
+    valid = base.order_base(lines, scope, star.LOW_PRICE)
+    wanted = demand.ad_demand_monthly(star.performance_monthly(star.order_lines(spark, folder)), scope)
+    chosen = allocate.allocate_store_month(valid, wanted, R["v5"].version)
+    return rollup.source_monthly(classify.classify(valid, chosen, R["v5"]), R["v5"])
+
+
+@query
+def default_scope_ads(spark, folder):
+    """Months and stores of the ad rows, whose types and stores come in both cases."""
+    warehouse = _warehouse(spark)
+    ads = star.ad_spend_daily(star.order_lines(spark, folder)).withColumns({
+        "ad_type": F.when(F.col("clicks") % 2 == 0, F.lower("ad_type")).otherwise(F.col("ad_type")),
+        "store_name": F.when(F.col("clicks") % 3 == 0, F.lower("store_name")).otherwise(F.col("store_name")),
+    })
+    warehouse.append(attribution.AD_SPEND, ads)
+    scope = attribution.default_scope(warehouse, R["v2"])
+    row = (scope.start, scope.end, ",".join(s.upper() for s in scope.stores))
+    return spark.createDataFrame([row], "start_month date, end_month_exclusive date, stores string")
+
+
+@query
+def sheets_written(spark, folder):
+    """A report sheet written with its titles and read back."""
+    root = f"{scratch_root(spark)}/sheets-{uuid.uuid4().hex}"
+    reports.write_sheets({"月度汇总": source_report.report_month(_stored_monthly(spark, folder), SCOPE)}, root, "parquet")
+    names = {"月份": "month", "来源类型": "main_order_type", "订单-SKU数": "order_sku_count", "销量": "units"}
+    return spark.read.parquet(f"{root}/月度汇总").select(*[F.col(f"`{k}`").alias(v) for k, v in names.items()])
+
+
+def _imported_bad(spark, folder):
+    root = derived.write_bad_reports(spark, folder)
+    warehouse = Warehouse(spark, f"{root}-warehouse")
+    order_import.import_strict(
+        warehouse, root, {k.lower(): v for k, v in STORE_FOLDERS.items()}, raise_bad=False
+    )
+    return warehouse
+
+
+@query
+def import_log(spark, folder):
+    """One file has bad rows: it is logged as failed, the others are loaded."""
+    warehouse = _imported_bad(spark, folder)
+    stored = warehouse.read(order_import.ORDERS_TABLE).groupBy("store_name").agg(F.count(F.lit(1)).alias("stored_rows"))
+    return warehouse.read(order_import.LOG_TABLE).join(stored, "store_name", "left").select(
+        "store_name", "status", "total_rows", F.coalesce("stored_rows", F.lit(0)).alias("stored_rows")
+    )
+
+
+@query
+def import_rejects(spark, folder):
+    """Every refused row, by file folder and reason."""
+    root = derived.write_bad_reports(spark, folder)
+    return order_import.strict_rejects(spark, f"{root}/*").groupBy(
+        files.parent_name(F.col("path")).alias("folder"), F.array_join("reject_reasons", "; ").alias("reasons")
+    ).agg(F.count(F.lit(1)).alias("rejected"), F.count_distinct("source_row_no").alias("places"))
+
+
+def _monthly_runs(spark, folder, apply):
+    """Cumulative files of every store, five at most; one store's month was delivered before."""
+    warehouse = _warehouse(spark)
+    early = derived.write_monthly(spark, folder, first_lines_only=True)
+
+    def deliver(path, store, apply=True):
+        return order_import.import_monthly(
+            warehouse, path, apply=apply, replace_month=True, store=store, month="1996-05"
+        )
+
+    deliver(early["ASIA-US"], "ASIA-US")
+    return warehouse, [deliver(p, s, apply) for s, p in derived.write_monthly(spark, folder).items()]
+
+
+@query
+def ingest_monthly(spark, folder):
+    """Quoted line breaks, other header names, no item ids, and a month delivered twice."""
+    warehouse, _ = _monthly_runs(spark, folder, apply=True)
+    return warehouse.read(order_import.ORDERS_TABLE).select(
+        "store_name", "report_month", "source_row_no", "amazon_order_id", "order_item_id", "purchase_date_utc",
+        "sku", "quantity", "item_price", "promotion_ids", "order_status", "currency",
+    )
+
+
+@query
+def monthly_precheck(spark, folder):
+    """Counts stated without a write: rows of the file, rows it would replace, rows of no quantity."""
+    _, outcomes = _monthly_runs(spark, folder, apply=False)
+    rows = [(o.store_name, o.input_rows, o.old_rows, o.zero_quantity_rows, o.applied) for o in outcomes]
+    return spark.createDataFrame(
+        rows, "store_name string, input_rows bigint, old_rows bigint, zero_rows bigint, applied boolean"
+    )
+
+
+def _performance_job(spark, folder):
+    warehouse = _warehouse(spark)
+    landed = materialize(derived.performance_pages(spark, folder), "pages")
+    # The second run takes up the failed months only, and leaves the others as they are.
+    for _ in range(2):
+        performance_import.import_performance(warehouse, landed, TODAY)
+    return warehouse
+
+
+@query
+def performance_import_rows(spark, folder):
+    return _performance_job(spark, folder).read(performance_import.TABLE).select(
+        "report_month", "period_start", "period_end", "sid", "store_name", "country", "msku", "sku", "asin",
+        "parent_asin", "volume", "order_items", "amount", "promotion_order_items", "ad_order_quantity",
+        "clicks", "currency_code",
+    )
+
+
+@query
+def performance_import_log(spark, folder):
+    return _performance_job(spark, folder).read(performance_import.LOG_TABLE).select(
+        "report_month", "sid", "store_name", "interface_total", "fetched_rows", "written_rows", "status",
+        "error_message",
+    )
