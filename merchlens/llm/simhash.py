@@ -26,7 +26,7 @@ from itertools import repeat
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -296,37 +296,37 @@ def near_duplicates(marked: DataFrame, radius: int = RADIUS) -> DataFrame:
 def drop_near_duplicates(docs: DataFrame, width: int = 5, radius: int = RADIUS) -> DataFrame:
     """One row of each group of near copies stays, that with the smallest doc_id; all columns are kept.
 
-    Of rows that repeat that id one stays, the least by text. A group without ids keeps one row likewise.
+    Of rows that repeat that id one stays, the least by hash of its text. A group without ids keeps one row likewise.
     """
-    marked = store(fingerprints(docs, width), "simhash")
-    group = near_duplicates(marked, radius).withColumnRenamed("fp", "_fp")
-    # An id stands for one row unless it is repeated: rank only what is left of each group.
+    keyed = docs.select("doc_id", text_key(docs).alias("_key"), "text")
+    marked = store(fingerprints(keyed, width, ["doc_id", "_key"]), "simhash")
+    group = near_duplicates(marked, radius)
+    return one_of_each(docs, marked.join(group, "fp").select("doc_id", "_key", "root"))
+
+
+def text_key(docs: DataFrame) -> Column:
+    return F.xxhash64(F.coalesce(docs["text"], F.lit("")))
+
+
+def one_of_each(docs: DataFrame, placed: DataFrame) -> DataFrame:
+    """One row of ``docs`` for every root of ``placed`` (doc_id, _key of the text, root; a row per row of ``docs``)."""
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("nameless"), F.col("doc_id").alias("_id"), "_key")).alias("_first")
+    # An id and a text tell one row from all others unless the row is repeated.
+    many = placed.groupBy("root", "doc_id", "_key").agg(F.count(F.lit(1)).alias("_many"))
     winners = store(
-        marked.join(group, F.col("fp") == F.col("_fp"))
-        .filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
-        .groupBy("component_id", "fp").count(), "winners",
+        many.groupBy("root").agg(first, F.min_by("_many", F.struct(F.col("doc_id").isNull(), "doc_id", "_key")).alias("_many"))
+        .select("_first._id", "_first._key", "_many"), "winners",
     )
-    # Kept ids grow with the corpus: the same join at every size, hashed on their side so that texts need no sort.
-    by_id = winners.filter("component_id IS NOT NULL").select("component_id").distinct().hint("shuffle_hash")
+    # Kept rows grow with the corpus: the same join at every size, hashed on their side so that texts need no sort.
     columns = docs.columns
-    kept = docs.join(by_id, docs.doc_id == by_id.component_id).select(*[docs[c] for c in columns])
-    nameless = docs.filter("doc_id IS NULL")
-    if winners.filter("component_id IS NULL").isEmpty():
-        return _one_each(kept, winners)
-    # One of each fingerprint, then one of each component: its least fingerprint.
-    least = group.filter("component_id IS NULL").groupBy("root").agg(F.min("_fp").alias("_fp"))
-    own = fingerprints(nameless.select(F.struct(*columns).alias("_row"), "text"), width, ["_row"]).join(
-        least, F.col("fp") == F.col("_fp"), "left_semi"
+    kept = docs.join(
+        winners.hint("shuffle_hash"), docs["doc_id"].eqNullSafe(winners["_id"]) & (text_key(docs) == winners["_key"])
     )
-    return _one_each(kept, winners).unionByName(own.dropDuplicates(["fp"]).select("_row.*"))
-
-
-def _one_each(kept: DataFrame, winners: DataFrame) -> DataFrame:
-    """``kept`` as it is where no id is repeated, else one row per id."""
-    repeated = winners.filter("component_id IS NOT NULL").groupBy("component_id").agg(F.sum("count").alias("n")).filter("n > 1")
-    if repeated.isEmpty():
-        return kept
-    return kept.dropDuplicates(["doc_id"])
+    single = kept.filter("_many = 1").select(*[docs[c] for c in columns])
+    if winners.filter("_many > 1").isEmpty():
+        return single
+    repeated = kept.filter("_many > 1").select("_id", "_key", F.struct(*[docs[c] for c in columns]).alias("_row"))
+    return single.unionByName(repeated.groupBy("_id", "_key").agg(F.min("_row").alias("_row")).select("_row.*"))
 
 
 def op10_simhash(spark, sf_dir: str) -> DataFrame:
