@@ -179,19 +179,55 @@ def mix(docs: DataFrame, keep: list[str] | None = None) -> DataFrame:
 
 
 def apply_mix(docs: DataFrame) -> DataFrame:
-    """The mixed corpus: every row of ``docs`` as often as it is taken, all columns kept.
+    """The mixed corpus: every row of ``docs`` as often as ``mix`` takes it, all columns kept.
 
-    Rows that share an id take turns: each of them gets the copies of the least of their rows.
+    Rows alike in id, source and text have one size and source, so their copies differ by one at most:
+    as many of them as ``mix`` gave the larger number get it.
     """
-    copies = mix(docs.select("doc_id", "text", "source")).groupBy("doc_id").agg(F.min("copies").alias("_copies"))
-    # One row per document kept: the same join at every size, hashed on this side so that texts need no sort.
-    copies = copies.select(F.col("doc_id").alias("_id"), "_copies").filter("_copies > 0").hint("shuffle_hash")
-    return (
-        docs.join(copies, F.col("doc_id").eqNullSafe(F.col("_id")))
-        .select(*docs.columns, F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int"))).alias("_copy"))
-        .select(*docs.columns)
+    columns = docs.columns
+    text_hash = F.xxhash64(F.coalesce(docs["text"], F.lit("")))
+    rows = mix(docs.select("doc_id", "text", "source", text_hash.alias("_hash")), ["doc_id", "source", "_hash"])
+    least, count = F.min("copies"), F.count(F.lit(1))
+    # One row per document: the same join at every size, hashed on this side so that texts need no sort.
+    alike = store(
+        rows.groupBy(F.col("doc_id").alias("_id"), F.col("source").alias("_source"), "_hash")
+        .agg(least.alias("_least"), (F.sum("copies") - least * count).alias("_more"), count.alias("_rows"))
+        .filter("_least > 0 OR _more > 0"), "mix-copies",
     )
 
+    def joined(groups):
+        groups = groups.hint("shuffle_hash")
+        return docs.join(groups, docs["doc_id"].eqNullSafe(groups["_id"]) & docs["source"].eqNullSafe(groups["_source"])
+                         & (text_hash == groups["_hash"]))
+
+    def repeated(rows, kept, copies):
+        return rows.select(*kept, F.explode(F.sequence(F.lit(1), copies.cast("int"))).alias("_copy"))
+
+    even = alike.filter("_more = 0")
+    out = repeated(joined(even), [docs[c] for c in columns], even["_least"]).select(*columns)
+    uneven = alike.filter("_more > 0")
+    if uneven.isEmpty():
+        return out
+    # Number the rows of such a group in pieces, with the counts of the pieces before.
+    numbered = store(
+        joined(uneven).select(F.struct(*[docs[c] for c in columns]).alias("_doc"), *[uneven[c] for c in uneven.columns])
+        .withColumn("_row", F.monotonically_increasing_id())
+        .withColumn("_piece", F.pmod("_row", F.ceil(F.col("_rows") / PIECE).cast("long"))), "mix-uneven",
+    )
+    group = ["_id", "_source", "_hash"]
+    ahead = Window.partitionBy(*group).orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
+    counts = numbered.groupBy(*group, "_piece").agg(F.count(F.lit(1)).alias("_n"))
+    counts = counts.withColumn("_ahead", F.coalesce(F.sum("_n").over(ahead), F.lit(0))).drop("_n")
+    place = Window.partitionBy(*group, "_piece").orderBy("_row")
+    placed = numbered.withColumn("_place", F.row_number().over(place)).alias("r").join(
+        counts.alias("c"),
+        F.col("r._id").eqNullSafe(F.col("c._id")) & F.col("r._source").eqNullSafe(F.col("c._source"))
+        & (F.col("r._hash") == F.col("c._hash")) & (F.col("r._piece") == F.col("c._piece")),
+    )
+    copies = F.col("_least") + (F.col("_ahead") + F.col("_place") <= F.col("_more")).cast("long")
+    placed = placed.select("r.*", copies.alias("_copies")).filter("_copies > 0")
+    return out.unionByName(repeated(placed, ["_doc"], F.col("_copies")).select("_doc.*"))
+
 
 def op2_mixture(spark, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "copies")
