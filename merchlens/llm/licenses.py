@@ -1,12 +1,14 @@
 """License scan: exact set-similarity join of text blocks with license templates.
 
-A document's words are cut into blocks of twice a template's words, each starting one template
-length after the last, so that any run as long as the template lies in one block. A block matches
-when it holds at least ``LEAST`` of the template's distinct words. Words are ordered by how often
-they occur in all documents, rarest first. Only blocks with a word of the template's prefix (its
-``distinct - needed + 1`` rarest words) are looked at; the length filter asks for enough template
-words in the block, the positional filter bounds what can still follow the first common word in
-both orders. What passes is verified by counting; the filters lose no match.
+A window is twice a template's words long and may start at every word of a document. It matches
+when it holds at least ``LEAST`` of the template's distinct words. Of each run of matching starts
+those at multiples of the template's length are reported, and the first of the fullest windows where
+none of these is as full, so labels and scores do not depend on where a notice stands.
+
+Words are ordered by how often they occur in all documents, rarest first. Only templates with a word
+of their prefix (their ``distinct - needed + 1`` rarest words) and enough words in the document are
+looked at; their windows are counted by stepping from one template word that comes or goes to the
+next. The filters lose no match.
 
 Frequencies come from one pass over all texts, matches from a second; neither moves a text. What
 travels to the tasks are the templates and the counts of their words, a fixed size.
@@ -97,32 +99,50 @@ class Templates:
 
     def blocks(self, hits: list[tuple[int, int]], n_words: int) -> list[tuple]:
         """Matches among the (place, rank) of template words, in order of place."""
-        wanted: dict[tuple[int, int], bool] = {}
-        for place, r in hits:
-            for t, _ in self.prefixes.get(r, ()):
-                b = place // self.lengths[t]
-                wanted[t, b] = True
-                if b:
-                    wanted[t, b - 1] = True
+        seen = {r for _, r in hits}
         out = []
-        for t, b in wanted:
-            start = b * self.lengths[t]
-            end = min(n_words, start + 2 * self.lengths[t])
-            block = sorted({r for place, r in hits if start <= place < end})
-            need, ranks = self.needed[t], self.sorted[t]
-            if len(block) < need:
-                continue
-            first = next((j for j, r in enumerate(block) if r in self.sets[t]), None)
-            if first is None:
+        for t in {t for r in seen for t, _ in self.prefixes.get(r, ())}:
+            if len(self.sets[t] & seen) < self.needed[t]:
                 continue
-            i = ranks.index(block[first])
-            if 1 + min(len(ranks) - i - 1, len(block) - first - 1) < need:
-                continue
-            common = len(self.sets[t].intersection(block))
-            if common >= need:
-                out.append((t, self.labels[t], start, end - start, common / len(ranks)))
+            length, ranks = self.lengths[t], self.sets[t]
+            for run in self._runs(t, [hit for hit in hits if hit[1] in ranks]):
+                best = max(common for _, _, common in run)
+                found = [(start, common) for first, end, common in run for start in range(-(-first // length) * length, end, length)]
+                if all(common < best for _, common in found):
+                    found.append((next(first for first, _, common in run if common == best), best))
+                out += [(t, self.labels[t], start, min(n_words, start + 2 * length) - start, common / len(ranks)) for start, common in found]
         return sorted(out, key=lambda x: (x[2], x[0]))
 
+    def _runs(self, t: int, hits: list[tuple[int, int]]) -> list[list[tuple[int, int, int]]]:
+        """Runs of starts whose windows match: (first start, end of starts, distinct words) of equal windows, in order."""
+        size, need = 2 * self.lengths[t], self.needed[t]
+        runs: list[list[tuple[int, int, int]]] = []
+        held: Counter = Counter()
+        comes = goes = at = 0
+        while goes < len(hits):
+            # The window at ``at`` holds hits[goes:comes]; it stays so until a hit comes or goes.
+            while comes < len(hits) and hits[comes][0] < at + size:
+                held[hits[comes][1]] += 1
+                comes += 1
+            while goes < comes and hits[goes][0] < at:
+                r = hits[goes][1]
+                held[r] -= 1
+                if not held[r]:
+                    del held[r]
+                goes += 1
+            if goes == len(hits):
+                break
+            end = hits[goes][0] + 1 if goes < comes else hits[comes][0] - size + 1
+            if comes < len(hits):
+                end = min(end, hits[comes][0] - size + 1)
+            if len(held) >= need:
+                if runs and runs[-1][-1][1] == at:
+                    runs[-1].append((at, end, len(held)))
+                else:
+                    runs.append([(at, end, len(held))])
+            at = end
+        return runs
+
 
 def word_counts(docs: DataFrame, vocabulary: frozenset[bytes]) -> dict[bytes, int]:
     """How often each word of ``vocabulary`` occurs in all texts."""
