@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from merchlens.llm import decontaminate, mixture, packing, quality, similar
+from merchlens.llm import decontaminate, mixture, packing, quality, simhash
 from merchlens.llm.common import DOCUMENT_COLUMNS, importable, store, table
 
 
@@ -21,8 +21,8 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: five-word shingles at least 0.8 alike."""
-    return similar.drop_similar(docs.select(*DOCUMENT_COLUMNS), width=5)
+    """One document of each group of near copies: SimHash fingerprints within the operator's distance."""
+    return simhash.drop_near_duplicates(docs.select(*DOCUMENT_COLUMNS), simhash.WIDTH, simhash.RADIUS)
 
 
 def no_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
