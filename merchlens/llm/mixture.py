@@ -142,7 +142,8 @@ def mix(docs: DataFrame, keep: list[str] | None = None) -> DataFrame:
     """One row per row of ``docs``: ``keep`` (default: doc_id), size, source_size, target, copies, taken."""
     row = F.struct(*(["doc_id"] if keep is None else keep)).alias("_row")
     sized = store(
-        docs.select(row, F.col("doc_id").alias("_id"), F.col("source").alias("_source"), word_count(F.col("text")).alias("size")),
+        docs.select(row, F.col("doc_id").alias("_id"), F.col("source").alias("_source"), word_count(F.col("text")).alias("size"),
+                    F.xxhash64(F.coalesce("text", F.lit(""))).alias("_hash")),
         "mix-sizes",
     )
     sizes = store(sized.groupBy(F.col("_source").alias("source"), "size").agg(F.count(F.lit(1)).alias("n")), "mix-counts")
@@ -155,7 +156,8 @@ def mix(docs: DataFrame, keep: list[str] | None = None) -> DataFrame:
         "mix-rates",
     )
     rated = _phased(rated)
-    keyed = sized.withColumn("_key", F.xxhash64("_id"))
+    # Rows of one id come in the order of their texts, so the mix does not depend on how the input lies.
+    keyed = sized.withColumn("_key", F.xxhash64("_id", "_hash"))
     joined = keyed.join(
         rated, F.col("_source").eqNullSafe(F.col("source")) & (keyed["size"] == rated["size"])
     ).select("_row", "_id", "source", keyed["size"].alias("size"), "source_size", "target", "units", "before", "phase",

@@ -204,7 +204,8 @@ def search(vectors: DataFrame, queries: DataFrame, id_name: str = "vec_id", vect
     held = np.zeros(parts, np.int64)
     for r in indexed.groupBy("part").count().collect():
         held[r["part"]] = r["count"]
-    wanted = valid(queries, id_name, vector).filter(fits)
+    # A repeated query row asks once; of different vectors under one id the least one asks.
+    wanted = store(valid(queries, id_name, vector).filter(fits).groupBy("id").agg(F.min("v").alias("v")), "vector-queries")
     pieces = np.maximum(1, -(-held // ROWS))
     query_pieces = max(1, -(-wanted.count() // QUERIES))
     least = max(LEAST_ROWS, int(np.ceil(router.probed * held.sum())))

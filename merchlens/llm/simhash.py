@@ -293,7 +293,7 @@ def near_duplicates(marked: DataFrame, radius: int = RADIUS) -> DataFrame:
     return placed.join(linked, "root").select("fp", "root", "component_id")
 
 
-def drop_near_duplicates(docs: DataFrame, width: int = 5, radius: int = RADIUS) -> DataFrame:
+def drop_near_duplicates(docs: DataFrame, width: int = WIDTH, radius: int = RADIUS) -> DataFrame:
     """One row of each group of near copies stays, that with the smallest doc_id; all columns are kept.
 
     Of rows that repeat that id one stays, the least by hash of its text. A group without ids keeps one row likewise.
