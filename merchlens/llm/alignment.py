@@ -38,7 +38,7 @@ from merchlens.llm.common import as_array, store, table
 BYTES_VOCABULARY = "/opt/tokenizers/byte_bpe_50k.json"
 PIECES_VOCABULARY = pieces.VOCABULARY
 #: Units a process keeps between blocks.
-KEPT_UNITS = 200_000
+KEPT_UNITS = 50_000
 #: Characters that one of the two may take as white space.
 BLANK = "᠎​﻿"
 SHIFT = 2**32
@@ -117,7 +117,7 @@ class Aligner:
     def _learn(self, texts: list[str]) -> list[tuple | None]:
         """What is to be known of each of ``texts`` (units with their first space); None where the bytes differ."""
         encoded = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-        packed = [self.pieces.encode_unit(t.replace(" ", pieces.SPACE)) for t in texts]
+        packed = [self.pieces.encode_unit(t.replace(" ", pieces.SPACE), keep=False) for t in texts]
         n_a = np.fromiter(map(len, encoded), np.int64, len(texts))
         n_b = np.fromiter(map(len, packed), np.int64, len(texts)) // 4
         flat_a = np.fromiter(chain.from_iterable(encoded), np.int64, n_a.sum())

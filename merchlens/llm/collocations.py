@@ -10,8 +10,8 @@ again: the number of its first two words and the id of the third.
 
 Texts are kept as chunks of one language: the different words and the places they take. Numbers reach
 a chunk by joining its different words (pairs) with the numbered ones, so nothing that grows with the
-corpus is broadcast, a word that stands everywhere comes once a chunk, and no task holds more than a
-chunk at a time. Counts of blocks are summed by partial aggregation before and after the shuffle.
+corpus is broadcast, a word that stands everywhere comes once a chunk, and no Python task holds more
+than a chunk at a time.
 
 Scores are exact: floor(1,000,000 a^2 / (l r)) in decimals of 38 digits. The first rows of a language
 are taken in pieces before the last ranking.
@@ -41,7 +41,7 @@ SCALE = 1_000_000
 TILE = 1024
 DENSE = 1 / 16
 #: Text bytes of a chunk, and pairs that are dealt to tiles at a time.
-CHUNK_BYTES = 12 << 20
+CHUNK_BYTES = 6 << 20
 BLOCK_PAIRS = 4_000_000
 #: Pieces of a language whose first rows are taken before the last ranking.
 SPREAD = 256
@@ -146,7 +146,13 @@ def count_pairs(left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.nda
             found.append((tile // across * TILE + cell // TILE, tile % across * TILE + cell % TILE, counts))
     if not found:
         return tuple(np.zeros(0, np.int64) for _ in range(3))
-    return tuple(np.concatenate(x).astype(np.int64) for x in zip(*found, strict=True))
+    i, j, n = (np.concatenate(x).astype(np.int64) for x in zip(*found, strict=True))
+    if len(left) > BLOCK_PAIRS:  # the same pair in several blocks
+        order = np.lexsort((j, i))
+        i, j, n = i[order], j[order], n[order]
+        first = np.flatnonzero(np.concatenate([[True], (i[1:] != i[:-1]) | (j[1:] != j[:-1])]))
+        i, j, n = i[first], j[first], np.add.reduceat(n, first)
+    return i, j, n
 
 
 def _ids(row: pa.Table, column: str) -> np.ndarray:
@@ -161,10 +167,17 @@ def _looked_up(size: int, found: pa.Table) -> np.ndarray:
     return out
 
 
-def with_word_ids(chunked: DataFrame, vocabulary: DataFrame) -> DataFrame:
+def often(rows: DataFrame, key: list[str], least: int) -> DataFrame:
+    """``rows`` whose ``key`` comes at least ``least`` times (the sum of ``n``, told in ``f``), in one shuffle.
+
+    A key has one row a chunk at most, however often it comes.
+    """
+    return rows.withColumn("f", F.sum("n").over(Window.partitionBy(*key))).filter(F.col("f") >= least).drop("n")
+
+
+def with_word_ids(chunked: DataFrame, frequent: DataFrame, vocabulary: DataFrame) -> DataFrame:
     """(chunk, ids): the ids of a chunk's words in order; -1 stands for the end of a piece and for rare words."""
-    own = chunked.select(F.col("chunk").alias("of"), "lang", F.posexplode("words").alias("place", "word"))
-    places = own.join(vocabulary.select("lang", "word", "id"), ["lang", "word"]).select("of", "place", "id")
+    places = frequent.join(vocabulary.select("lang", "word", "id"), ["lang", "word"]).select(F.col("chunk").alias("of"), "place", "id")
 
     def of(key, found, row):
         if not row.num_rows:
@@ -199,16 +212,16 @@ def pairs_of_chunks(sequences: DataFrame) -> DataFrame:
             for chunk, ids in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 i, j, n, _ = different_pairs(np.frombuffer(ids.as_buffer(), np.int64))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(i), chunk)), pa.array(np.arange(len(i))), pa.array(i), pa.array(j), pa.array(n)],
+                    [pa.array(np.full(len(i), chunk)), pa.array(np.arange(len(i), dtype=np.int32)), pa.array(i), pa.array(j), pa.array(n)],
                     ["chunk", "place", "i", "j", "n"],
                 )
 
-    return sequences.mapInArrow(of, "chunk long, place long, i long, j long, n long")
+    return sequences.mapInArrow(of, "chunk long, place int, i long, j long, n long")
 
 
-def triples(sequences: DataFrame, own: DataFrame, pairs: DataFrame) -> DataFrame:
+def triples(sequences: DataFrame, frequent: DataFrame, pairs: DataFrame) -> DataFrame:
     """(pair, k, n): counts of a frequent pair (its id) before word k, where the last two words are frequent together too."""
-    places = own.select("chunk", "place", "i", "j").join(pairs.select("i", "j", "id"), ["i", "j"]).select("chunk", "place", "id")
+    places = frequent.select("chunk", "place", "i", "j").join(pairs.select("i", "j", "id"), ["i", "j"]).select("chunk", "place", "id")
 
     def of(key, found, row):
         pair, k, n = (np.zeros(0, np.int64) for _ in range(3))
@@ -233,15 +246,15 @@ def collocations(docs: DataFrame, least: int = LEAST, share: int = SHARE, first:
     """(lang, rank, phrase, a, l, r, n, score): the first phrases of two and three words of each language of ``docs`` (lang, text)."""
     chunked = store(chunks(docs), "phrase-chunks")
     total = store(chunked.groupBy("lang").agg(F.sum("n").alias("n")), "phrase-words")
-    words = chunked.select("lang", F.explode(F.arrays_zip("words", "counts")).alias("w")).groupBy("lang", F.col("w.words").alias("word"))
-    words = words.agg(F.sum("w.counts").alias("f")).filter(F.col("f") >= least)
-    words = numbered(words, F.col("f").desc(), "lang", "word")
-    sequences = store(with_word_ids(chunked, words), "phrase-ids")
-
-    own = store(pairs_of_chunks(sequences), "phrase-pairs")
-    pairs = own.groupBy("i", "j").agg(F.sum("n").alias("f")).filter(F.col("f") >= least)
-    pairs = numbered(pairs, F.col("f").desc(), "i", "j")
-    three = triples(sequences, own, pairs).groupBy("pair", "k").agg(F.sum("n").alias("a")).filter(F.col("a") >= least)
+    spread = chunked.select("chunk", "lang", F.posexplode(F.arrays_zip("words", "counts")).alias("place", "w"))
+    spread = spread.select("chunk", "lang", "place", F.col("w.words").alias("word"), F.col("w.counts").alias("n"))
+    frequent = store(often(spread, ["lang", "word"], least), "phrase-places")
+    words = numbered(frequent.select("lang", "word", "f").distinct(), F.col("f").desc(), "lang", "word")
+    sequences = store(with_word_ids(chunked, frequent, words), "phrase-ids")
+
+    frequent = store(often(pairs_of_chunks(sequences), ["i", "j"], least), "phrase-pairs")
+    pairs = numbered(frequent.select("i", "j", "f").distinct(), F.col("f").desc(), "i", "j")
+    three = triples(sequences, frequent, pairs).groupBy("pair", "k").agg(F.sum("n").alias("a")).filter(F.col("a") >= least)
 
     def word(name, *more):
         return words.select(F.col("id").alias(name), F.col("word").alias(f"{name}_word"), F.col("f").alias(f"{name}_f"), *more)

@@ -39,8 +39,8 @@ SPACE = "▁"
 NORMAL, UNKNOWN, CONTROL, BYTE = 1, 2, 3, 6
 UNKNOWN_SURFACE = " ⁇ "
 #: Text bytes that are taken at a time, units and pairs that a process keeps, and the longest kept unit.
-BLOCK_BYTES = 8 << 20
-KEPT_UNITS, KEPT_PAIRS, KEPT_LENGTH = 300_000, 1_000_000, 200
+BLOCK_BYTES = 2 << 20
+KEPT_UNITS, KEPT_PAIRS, KEPT_LENGTH = 100_000, 300_000, 200
 
 
 def _fields(data: bytes):
@@ -168,8 +168,8 @@ class Pieces:
             last[at] = self.size + ord(text[at])
         return last
 
-    def encode_unit(self, unit: str) -> bytes:
-        """Ids (int32) of a text whose spaces are U+2581 and whose first space stands there already."""
+    def encode_unit(self, unit: str, keep: bool = True) -> bytes:
+        """Ids (int32) of a text whose spaces are U+2581 and whose first space stands there already; kept if told so."""
         known = self.units.get(unit)
         if known is not None:
             return known
@@ -184,7 +184,7 @@ class Pieces:
                 at -= 1
         out.reverse()
         ids = out.tobytes()
-        if len(unit) <= KEPT_LENGTH:
+        if keep and len(unit) <= KEPT_LENGTH:
             if len(self.units) >= KEPT_UNITS:
                 self.units.clear()
             self.units[unit] = ids
