@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import codecs
+import csv
 import hashlib
+import io
 import re
 from urllib.parse import quote
 
@@ -155,52 +157,108 @@ def read_lines(spark: SparkSession, paths: list[str] | str, charset: str, *more:
         spark.conf.set(JAVA_CHARSETS, before)
 
 
-def quotes(line: Column) -> Column:
-    return F.octet_length(line) - F.octet_length(F.replace(line, F.lit('"'), F.lit("")))
+# Fixed value: the longest field, in characters, that a report may hold.
+FIELD_LIMIT = 131072
 
 
-def inspect_text(spark: SparkSession, path: str) -> tuple[str, bool]:
-    """Charset of a whole file, and whether some line ends within quotes; one pass over every line.
+def split_fields(line: Column, delimiter: str) -> Column:
+    """What stands between delimiters, quoted or not."""
+    return F.split(line, re.escape(delimiter), -1)
 
-    UTF-16 by its mark; UTF-8 if all of it is valid UTF-8; else GB18030 if all of it decodes so.
+
+def _closes(rest: Column) -> Column:
+    """Whether a quoted field ends in ``rest``: at the first quote that is not doubled."""
+    return F.contains(F.replace(rest, F.lit('""'), F.lit("")), F.lit('"'))
+
+
+def end_state(line: Column, delimiter: str, inside: bool) -> Column:
+    """1 if a quoted field is open at the end of ``line``, else 0; ``inside``: one is open where the line begins.
+
+    A quote opens a field only as its first character; elsewhere in an unquoted field it is a character. A quoted
+    field ends at a quote that is not doubled, and what follows up to the delimiter belongs to the field.
     """
+    def after(state: Column, part: Column) -> Column:
+        open_ = state == 1
+        rest = F.when(open_, part).otherwise(F.substr(part, F.lit(2)))
+        return F.when((open_ | F.startswith(part, F.lit('"'))) & ~_closes(rest), 1).otherwise(0)
+
+    walked = F.aggregate(split_fields(line, delimiter), F.lit(int(inside)), after)
+    return F.when(F.contains(line, F.lit('"')), walked).otherwise(int(inside))
+
+
+def fields_of(record: Column, delimiter: str) -> Column:
+    """The fields of a record as an array of text, quotes taken off; an open field at the end is taken as it is."""
+    def after(state: Column, part: Column) -> Column:
+        open_ = state["open"]
+        quoted = open_ | F.startswith(part, F.lit('"'))
+        rest = F.when(open_, part).otherwise(F.substr(part, F.lit(2)))
+        # Doubled quotes are passed over, so the quote after them is the one that ends the field.
+        inner = F.regexp_extract(rest, r'^((?:[^"]++|"")*+)"([\s\S]*)$', 1)
+        outer = F.regexp_extract(rest, r'^((?:[^"]++|"")*+)"([\s\S]*)$', 2)
+
+        def plain(text: Column) -> Column:
+            return F.replace(text, F.lit('""'), F.lit('"'))
+
+        ended = F.concat(state["held"], plain(inner), outer)
+        longer = F.concat(state["held"], plain(rest), F.lit(delimiter))
+        return (
+            F.when(~quoted, F.struct(F.concat(state["done"], F.array(part)).alias("done"), F.lit("").alias("held"), F.lit(False).alias("open")))
+            .when(_closes(rest), F.struct(F.concat(state["done"], F.array(ended)).alias("done"), F.lit("").alias("held"), F.lit(False).alias("open")))
+            .otherwise(F.struct(state["done"].alias("done"), longer.alias("held"), F.lit(True).alias("open")))
+        )
+
+    def last(state: Column) -> Column:
+        # The delimiter after an open field was none.
+        left = F.substr(state["held"], F.lit(1), F.length(state["held"]) - len(delimiter))
+        return F.when(state["open"], F.concat(state["done"], F.array(left))).otherwise(state["done"])
+
+    parts = split_fields(record, delimiter)
+    start = F.struct(F.array().cast("array<string>").alias("done"), F.lit("").alias("held"), F.lit(False).alias("open"))
+    return F.when(F.contains(record, F.lit('"')), F.aggregate(parts, start, after, last)).otherwise(parts)
+
+
+def inspect_text(spark: SparkSession, path: str) -> str:
+    """Charset of a whole file: UTF-16 by its mark; UTF-8 if all of it is valid UTF-8; else GB18030 if all of it decodes so."""
     if head_bytes(spark, path, 2) in (b"\xff\xfe", b"\xfe\xff"):
-        return "UTF-16", True
-    seen = spark.read.text(path).agg(
-        F.bool_and(F.is_valid_utf8("value")).alias("utf8"), F.bool_or(quotes(F.col("value")) % 2 == 1).alias("broken")
-    ).first()
-    if seen.utf8 is not False:
-        return "UTF-8", bool(seen.broken)
+        return "UTF-16"
+    if spark.read.text(path).agg(F.bool_and(F.is_valid_utf8("value"))).first()[0] is not False:
+        return "UTF-8"
     try:
         read_lines(spark, path, "GB18030").agg(F.max(F.length("line"))).collect()
     except Exception as error:
         if "MALFORMED_CHARACTER" not in str(error):
             raise
         raise ValueError("unknown text encoding; UTF-8, UTF-16 and GB18030 are supported") from error
-    return "GB18030", bool(seen.broken)
+    return "GB18030"
 
 
-def first_record(text: str) -> str | None:
-    """The first line of ``text`` that is not blank, with breaks within quotes; None if its end is not there."""
-    text = text.lstrip("\ufeff\r\n")
-    inside = False
-    for i, c in enumerate(text):
-        if c == '"':
-            inside = not inside
-        elif c in "\r\n" and not inside:
-            return text[:i]
-    return None
+def holds_open_lines(spark: SparkSession, paths: list[str] | str, charset: str, delimiter: str) -> bool:
+    """Whether a line of the files leaves a quoted field open, so that records may span lines; one pass."""
+    def open_(line: Column) -> Column:
+        return end_state(line, delimiter, False) == 1
 
+    lines = read_lines(spark, paths, charset)
+    marked = F.ltrim(F.col("line"), F.lit("\ufeff"))
+    return not lines.filter(open_(F.col("line")) | (F.startswith(F.col("line"), F.lit("\ufeff")) & open_(marked))).isEmpty()
 
-def header_record(spark: SparkSession, path: str, charset: str) -> str:
-    """The complete first record of a file, however long."""
+
+def header_record(spark: SparkSession, path: str, charset: str) -> tuple[list[str], str]:
+    """The names in the first record of a file, however long, and its delimiter; no names if the file is blank."""
     size = HEAD_BYTES
     while True:
         head = head_bytes(spark, path, size)
-        text = codecs.getincrementaldecoder(charset)(errors="strict").decode(head, final=False)
-        found = first_record(text)
-        if found is not None or len(head) < size:
-            return text.lstrip("\ufeff\r\n").rstrip("\r\n") if found is None else found
+        text = codecs.getincrementaldecoder(charset)(errors="strict").decode(head, final=False).lstrip("\ufeff\r\n")
+        whole = len(head) < size
+        line = re.match(r"[^\r\n]*", text).group()
+        if whole or len(line) < len(text):
+            if not line.strip():
+                return [], "\t"
+            delimiter = sniff_delimiter(line)
+            reader = csv.reader(io.StringIO(text, newline=""), delimiter=delimiter)
+            names = next(reader)
+            # The record is complete if another one, or the file's end, follows it.
+            if whole or next(reader, None) is not None:
+                return names, delimiter
         size *= 4
 
 
@@ -256,47 +314,66 @@ def text_lines(spark: SparkSession, paths: list[str] | str, charset: str, keep_b
     return numbered.withColumn("line", F.coalesce(mark, "line"))
 
 
-def text_records(spark: SparkSession, paths: list[str] | str, charset: str) -> DataFrame:
+def text_records(
+    spark: SparkSession, paths: list[str] | str, charset: str, delimiter: str, keep_blank: bool, width: int
+) -> DataFrame:
     """Numbered records whose quoted fields may hold line breaks, split between tasks. Column ``line``.
 
-    A line begins a record if an even number of quotes stands before it: within its block by a window
-    (a block is bounded), before its block by the sums of the blocks. Lines of a record are then put
-    together; blank lines between records are left out.
+    A line maps the state before it (a quoted field is open, or none is) to the state after it. There are four such
+    maps: two set the state, one turns it over, one keeps it. A run of lines is a map again: what its last setting line
+    sets, turned over as often as lines after that do. So the state before a line follows from the lines before it in its block
+    (a block is bounded) and from the maps of the blocks before; no file passes through one task.
+
+    Most records are one line and stay where they are; the lines of the others are put together. A record longer
+    than ``width`` fields of the largest size fails the job before its lines meet in a task.
     """
-    rows = read_lines(spark, paths, charset, *scan_position()).withColumn("_quotes", quotes(F.col("line")))
+    rows = read_lines(spark, paths, charset, *scan_position())
     in_block = Window.partitionBy("_path", "_block").orderBy("_place")
-    before = Window.partitionBy("_path").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     earlier = in_block.rowsBetween(Window.unboundedPreceding, -1)
-
-    def ahead(df: DataFrame, column: str, name: str) -> DataFrame:
-        """Add the sum of ``column`` over all lines of the file before this one."""
-        blocks = df.groupBy("_path", "_block").agg(F.sum(column).alias("_sum")).select(
-            "_path", "_block", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_ahead")
-        )
-        own = F.coalesce(F.sum(column).over(earlier), F.lit(0))
-        return df.withColumn("_own", own).join(blocks, ["_path", "_block"]).withColumn(
-            name, F.col("_own") + F.col("_ahead")
-        ).drop("_own", "_ahead")
-
-    marked = ahead(rows, "_quotes", "_open").withColumn("_starts", (F.col("_open") % 2 == 0).cast("int"))
-    marked = marked.filter(~((F.col("_starts") == 1) & (F.ltrim(F.col("line"), F.lit("\ufeff")) == "")))
-    numbered = ahead(marked, "_starts", "_before").withColumn("source_row_no", F.col("_before") + F.col("_starts"))
+    before = Window.partitionBy("_path").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    first = (F.col("_block") == 0) & (F.row_number().over(in_block) == 1)
+    rows = rows.withColumn("line", F.when(first, F.ltrim(F.col("line"), F.lit("\ufeff"))).otherwise(F.col("line")))
+    mapped = rows.withColumns({
+        "_closed": end_state(F.col("line"), delimiter, False), "_opened": end_state(F.col("line"), delimiter, True),
+    })
+    sets, turns = F.col("_closed") == F.col("_opened"), (F.col("_closed") == 1) & (F.col("_opened") == 0)
+    mapped = mapped.withColumns({
+        "_turned": F.sum(turns.cast("long")).over(in_block.rowsBetween(Window.unboundedPreceding, 0)),
+        "_own": turns.cast("long"), "_sets": sets,
+    })
+    mapped = mapped.withColumn("_set", F.when(F.col("_sets"), F.struct(F.col("_closed").alias("to"), F.col("_turned").alias("at"))))
+    # What a block does: the state it sets (null: none), and how often it turns it over after that.
+    blocks = mapped.groupBy("_path", "_block").agg(
+        F.max_by("_set", F.when(F.col("_sets"), F.col("_place"))).alias("_last"), F.max("_turned").alias("_all")
+    ).select("_path", "_block", F.col("_last.to").alias("_to"), (F.col("_all") - F.coalesce("_last.at", F.lit(0))).alias("_turns"))
+    blocks = blocks.withColumn("_sum", F.sum("_turns").over(before.rowsBetween(Window.unboundedPreceding, 0)))
+    last = F.last(F.when(F.col("_to").isNotNull(), F.struct(
+        ((F.col("_to") + F.col("_turns")) % 2).alias("to"), F.col("_sum").alias("at"))), ignorenulls=True).over(before)
+    blocks = blocks.withColumn("_known", last).select(
+        "_path", "_block", ((F.coalesce("_known.to", F.lit(0)) + F.col("_sum") - F.col("_turns") - F.coalesce("_known.at", F.lit(0))) % 2).alias("_state"),
+    )
+    known = F.last("_set", ignorenulls=True).over(earlier)
+    lines = mapped.withColumn("_known", known).join(blocks, ["_path", "_block"])
+    turned = F.col("_turned") - F.col("_own") - F.coalesce("_known.at", F.lit(0))
+    state = (F.coalesce("_known.to", "_state") + turned) % 2
+    lines = lines.select("_path", "_block", "_place", "line", "_closed", (state == 0).cast("long").alias("_starts"))
+    if not keep_blank:
+        lines = lines.filter(~((F.col("_starts") == 1) & (F.col("line") == "")))
+    counts = lines.groupBy("_path", "_block").agg(F.sum("_starts").alias("_records")).select(
+        "_path", "_block", F.coalesce(F.sum("_records").over(before), F.lit(0)).alias("_ahead")
+    )
+    number = F.coalesce(F.sum("_starts").over(earlier), F.lit(0)) + F.col("_starts")
+    lines = lines.withColumn("_number", number).join(counts, ["_path", "_block"]).withColumn("source_row_no", F.col("_number") + F.col("_ahead"))
+    alone = (F.col("_starts") == 1) & (F.col("_closed") == 0)
+    own = Window.partitionBy("_path", "source_row_no")
+    size = F.sum(F.length("line") + F.lit(1)).over(own)
+    too_long = F.raise_error(F.concat(F.lit("a field is longer than allowed in the record of row "), F.col("source_row_no")))
+    spread = lines.filter(~alone).withColumn("line", F.when(size > width * (FIELD_LIMIT + 1), too_long).otherwise(F.col("line")))
     pieces = F.array_sort(F.collect_list(F.struct("_block", "_place", "line")))
-    records = numbered.groupBy("_path", "source_row_no").agg(
+    joined = spread.groupBy("_path", "source_row_no").agg(
         F.array_join(F.transform(pieces, lambda x: x["line"]), "\n").alias("line")
     )
-    mark = F.when(F.col("source_row_no") == 1, F.ltrim(F.col("line"), F.lit("\ufeff")))
-    return records.withColumn("line", F.coalesce(mark, "line"))
-
-
-def parse_line(names: list[str], delimiter: str, bad: str | None = None) -> Column:
-    """Fields of ``line`` as a struct of text columns; ``bad`` is set on a row of another width."""
-    fields = [f"`{n}` string" for n in names]
-    options = {"sep": delimiter, "quote": '"', "escape": '"', "mode": "PERMISSIVE"}
-    if bad:
-        fields.append(f"`{bad}` string")
-        options["columnNameOfCorruptRecord"] = bad
-    return F.from_csv("line", ", ".join(fields), options)
+    return lines.filter(alone).select("_path", "source_row_no", "line").unionByName(joined)
 
 
 def scan_position() -> list[Column]:

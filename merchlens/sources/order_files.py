@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import csv
 import datetime as dt
-import io
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,41 +26,29 @@ ALIASES = {
 }
 
 
-def read_strict(spark: SparkSession, paths: list[str] | str, multiline: bool = False) -> DataFrame:
+def read_strict(spark: SparkSession, paths: list[str] | str) -> DataFrame:
     """Raw report rows with record numbers; rows of another width are kept and marked.
 
     A header row is left out when it has the 39 expected names, and kept and
-    marked in ``_bad_header`` when not. Files are split between tasks;
-    ``multiline`` (line breaks inside quotes) reads each file in one task.
+    marked in ``_bad_header`` when not. Files are split between tasks, also
+    where quoted fields hold line breaks.
     """
-    if multiline:
-        return _read_strict_multiline(spark, paths)
-    lines = files.text_lines(spark, paths, "UTF-8", keep_blank=True)
-    rows = lines.withColumn("row", files.parse_line(ORDER_HEADERS, "\t", BAD_ROW))
-    same = F.col(f"row.{BAD_ROW}").isNull()
-    for name in ORDER_HEADERS:
-        same = same & F.coalesce(text.strip(f"row.`{name}`") == name, F.lit(False))
+    if files.holds_open_lines(spark, paths, "UTF-8", "\t"):
+        lines = files.text_records(spark, paths, "UTF-8", "\t", True, len(ORDER_HEADERS))
+    else:
+        lines = files.text_lines(spark, paths, "UTF-8", keep_blank=True)
+    rows = lines.withColumn("_fields", files.fields_of(F.col("line"), "\t"))
+    fits = F.size("_fields") == len(ORDER_HEADERS)
+    names = F.transform("_fields", lambda x: text.strip(F.replace(x, F.lit("\ufeff"), F.lit(""))))
     is_header = F.col("source_row_no") == 1
+    same = names == F.array(*[F.lit(h) for h in ORDER_HEADERS])
     # A blank line is a row without columns.
-    bad = F.when(F.col("line") == "", F.lit("")).otherwise(F.col(f"row.{BAD_ROW}"))
+    short = F.forall("_fields", lambda x: F.length(x) <= files.FIELD_LIMIT)
+    bad = F.when((F.col("line") == "") | ~fits, F.col("line")).when(~short, F.lit("a field is too long"))
     return rows.filter(~(is_header & same)).select(
-        *[F.col(f"row.`{h}`").alias(h) for h in ORDER_HEADERS], bad.alias(BAD_ROW),
-        F.when(is_header, F.col("line")).alias(BAD_HEADER), "_path", "source_row_no",
-    )
-
-
-def _read_strict_multiline(spark: SparkSession, paths: list[str] | str) -> DataFrame:
-    schema = T.StructType(
-        [T.StructField(h, T.StringType()) for h in ORDER_HEADERS] + [T.StructField(BAD_ROW, T.StringType())]
-    )
-    rows = spark.read.csv(
-        paths, schema=schema, sep="\t", header=True, enforceSchema=False, quote='"', escape='"',
-        mode="PERMISSIVE", columnNameOfCorruptRecord=BAD_ROW, multiLine=True, encoding="UTF-8",
+        *[F.nullif(F.get("_fields", F.lit(i)), F.lit("")).alias(h) for i, h in enumerate(ORDER_HEADERS)], bad.alias(BAD_ROW),
+        F.when(is_header, F.array_join(names, "\t")).alias(BAD_HEADER), "_path", "source_row_no",
     )
-    numbered = files.number_rows(rows.select("*", *files.scan_position()))
-    return numbered.withColumns({
-        "source_row_no": F.col("source_row_no") + 1, BAD_HEADER: F.lit(None).cast("string"),
-    })
 
 
 def convert_strict(raw: DataFrame) -> DataFrame:
@@ -129,12 +115,10 @@ def insert_columns(
 
 def read_monthly(spark: SparkSession, path: str) -> tuple[DataFrame, list[str]]:
     """Stripped text rows of a monthly file with record numbers, and its normalised header."""
-    charset, broken = files.inspect_text(spark, path)
-    start = files.header_record(spark, path, charset)
-    if not start.strip():
+    charset = files.inspect_text(spark, path)
+    names, delimiter = files.header_record(spark, path, charset)
+    if not names:
         raise ValueError(f"{path} has no header")
-    delimiter = files.sniff_delimiter(start)
-    names = next(csv.reader(io.StringIO(start, newline=""), delimiter=delimiter))
     header = [files.normalize_header(n) for n in names]
     # Of equal names the last column counts.
     columns = [n if n not in header[i + 1:] else f"_dropped_{i}" for i, n in enumerate(header)]
@@ -150,9 +134,15 @@ def read_monthly(spark: SparkSession, path: str) -> tuple[DataFrame, list[str]]:
         rows = numbered.withColumn("source_row_no", F.col("source_row_no") + 1)
     else:
         # Only a file with breaks inside quotes needs its lines put together.
-        lines = files.text_records(spark, path, charset) if broken else files.text_lines(spark, path, charset, False)
-        rows = lines.filter("source_row_no > 1").withColumn("row", files.parse_line(columns, delimiter)).select(
-            "_path", "source_row_no", *[F.col(f"row.`{n}`").alias(n) for n in columns]
+        if files.holds_open_lines(spark, path, charset, delimiter):
+            lines = files.text_records(spark, path, charset, delimiter, False, len(columns))
+        else:
+            lines = files.text_lines(spark, path, charset, False)
+        fields = files.fields_of(F.col("line"), delimiter)
+        long = F.raise_error(F.concat(F.lit("a field is longer than allowed in row "), F.col("source_row_no")))
+        checked = F.when(F.exists(fields, lambda x: F.length(x) > files.FIELD_LIMIT), long).otherwise(fields)
+        rows = lines.filter("source_row_no > 1").withColumn("_fields", checked).select(
+            "_path", "source_row_no", *[F.nullif(F.get("_fields", F.lit(i)), F.lit("")).alias(n) for i, n in enumerate(columns)]
         )
     clean = [text.strip(f"`{name}`").alias(name) for name in kept]
     return rows.filter(F.concat_ws("", *clean) != "").select("_path", "source_row_no", *clean), kept
