@@ -141,9 +141,10 @@ def _strict_report(lines: DataFrame, order_id: Column) -> DataFrame:
         "promotion-ids": F.col("promotion_ids"),
         "order-item-id": F.concat_ws("-", "order_item_id", "l_partkey", "l_suppkey", "item_price", "quantity"),
     }
+    more = {"product-name": F.col("name")} if "name" in lines.columns else {}
     return lines.select(
         F.replace("store_name", F.lit(" "), F.lit("_")).alias("store"),
-        *[values.get(h, F.lit("")).alias(h) for h in ORDER_HEADERS],
+        *[{**values, **more}.get(h, F.lit("")).alias(h) for h in ORDER_HEADERS],
     )
 
 
@@ -173,23 +174,73 @@ def write_monthly(spark: SparkSession, folder: str, first_lines_only: bool = Fal
     lines = star.order_lines(spark, folder)
     if first_lines_only:
         lines = lines.filter("l_linenumber = 1")
+    report, order = _monthly_report(lines)
+    report = report.repartition(len(STORES), "store").sortWithinPartitions("store", *order)
+    root = f"{scratch_root(spark)}/monthly-{uuid.uuid4().hex}"
+    _write_text(report, root)
+    return _paths_by_store(spark, root)
+
+
+def _monthly_report(lines: DataFrame, quoted: bool = False) -> tuple[DataFrame, list[Column]]:
+    """The columns of a monthly file, and the order its lines stand in."""
     key = F.col("amazon_order_id").cast("bigint")
     at = F.make_timestamp_ntz(
         F.lit(1996), F.lit(5), (key % 28 + 2).cast("int"), (key % 24).cast("int"), F.lit(0), F.lit(0)
     )
+    promotion = quoted_form(key, F.col("promotion_ids")) if quoted else F.replace("promotion_ids", F.lit(" "), F.lit("\n"))
     report = lines.select(
         F.replace("store_name", F.lit(" "), F.lit("_")).alias("store"),
         F.col("amazon_order_id").alias("Amazon Order-ID"), F.date_format(at, "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("purchase_date_utc"),
         F.trim("sku").alias("Seller SKU"), F.col("quantity").cast("string").alias("quantity"),
         F.col("item_price").cast("decimal(18,2)").cast("string").alias("item-price"),
-        F.replace("promotion_ids", F.lit(" "), F.lit("\n")).alias("promotion ids"), "order_status", "currency",
-    )
-    columns = report.columns[1:]
-    report = report.repartition(len(STORES), "store").sortWithinPartitions(
-        "store", key, *[F.coalesce(F.col(f"`{c}`"), F.lit("")) for c in columns[1:]]
+        promotion.alias("promotion ids"), "order_status", "currency",
     )
-    root = f"{scratch_root(spark)}/monthly-{uuid.uuid4().hex}"
-    _write_text(report, root)
+    order = [F.col("Amazon Order-ID").cast("bigint"), *[F.coalesce(F.col(f"`{c}`"), F.lit("")) for c in report.columns[2:]]]
+    return report, order
+
+
+def _paths_by_store(spark: SparkSession, root: str) -> dict[str, str]:
     # One file per store of the list above.
     names = {f"store={s.replace(' ', '_')}": s for s in STORES}
     return {names[unquote(f).split("/")[-2]]: unquote(f) for f in spark.read.text(root).inputFiles()}
+
+
+def quoted_form(key: Column, plain: Column) -> Column:
+    """Report text in every form a quote comes in: inch mark, quoted break, doubled quotes, text after the end, none."""
+    at = key % 6
+    return (
+        F.when(at == 0, F.concat(F.lit('Screen 5" '), key.cast("string")))
+        .when(at == 1, F.concat(F.lit('"two\nlines\t'), key.cast("string"), F.lit('"')))
+        .when(at == 2, '"a ""b""\n\nc"').when(at == 3, '"end" of 7"').when(at == 4, "").otherwise(F.coalesce(plain, F.lit("")))
+    )
+
+
+def _write_lines(report: DataFrame, order: list[Column], root: str) -> None:
+    """Raw tab-separated text, one file for each value of ``store``: a header line, then the rows in order."""
+    header = "\t".join(report.columns[1:])
+    line = F.concat_ws("\t", *[F.coalesce(F.col(f"`{c}`"), F.lit("")) for c in report.columns[1:]])
+    rows = report.select("store", F.struct(F.lit(1).alias("at"), *[o.alias(f"k{i}") for i, o in enumerate(order)]).alias("place"), line.alias("line"))
+    # A null place comes first.
+    none = F.lit(None).cast(rows.schema["place"].dataType)
+    rows = rows.unionByName(rows.select("store").distinct().select("store", none.alias("place"), F.lit(header).alias("line")))
+    rows = rows.repartition("store").sortWithinPartitions("store", F.col("place").asc_nulls_first())
+    rows.select("store", "line").write.partitionBy("store").text(root)
+
+
+def write_quoted_reports(spark: SparkSession, folder: str) -> str:
+    """Strict reports whose product names hold quotes and line breaks, eight files a store."""
+    lines = star.order_lines(spark, folder)
+    key = F.col("l_partkey")
+    report = _strict_report(lines.withColumn("name", quoted_form(key, F.lit("plain"))), F.col("amazon_order_id"))
+    report = report.withColumns({"store": F.concat("store", F.lit("-"), (F.col("order-item-id").substr(1, 1)))})
+    root = f"{scratch_root(spark)}/quoted-{uuid.uuid4().hex}"
+    _write_lines(report.select("store", *ORDER_HEADERS), [F.col("amazon-order-id"), F.col("order-item-id")], root)
+    return root
+
+
+def write_quoted_monthly(spark: SparkSession, folder: str) -> dict[str, str]:
+    """The monthly files with quotes in every form in their promotion texts; file path by store name."""
+    report, order = _monthly_report(star.order_lines(spark, folder), quoted=True)
+    root = f"{scratch_root(spark)}/monthly-{uuid.uuid4().hex}"
+    _write_lines(report, order, root)
+    return _paths_by_store(spark, root)

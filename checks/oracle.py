@@ -813,3 +813,32 @@ SELECT store_name, count(*) AS input_rows,
 FROM monthly_lines GROUP BY store_name""", "monthly_lines")
 ORACLE["performance_import_rows"] = ORACLE["performance_rows"]
 ORACLE["performance_import_log"] = ORACLE["performance_load_stats"]
+
+
+def quoted_form(key: str, plain: str) -> str:
+    """What the report texts with quotes in every form stand for."""
+    return f"""CASE {key} % 6 WHEN 0 THEN 'Screen 5" ' || CAST({key} AS VARCHAR)
+       WHEN 1 THEN 'two' || chr(10) || 'lines' || chr(9) || CAST({key} AS VARCHAR)
+       WHEN 2 THEN 'a "b"' || chr(10) || chr(10) || 'c' WHEN 3 THEN 'end of 7"' WHEN 5 THEN {plain} END"""
+
+
+oracle("strict_quotes", f"""
+SELECT DISTINCT * FROM (
+  SELECT {_LINE.replace("order_item_id,", "concat_ws('-', order_item_id, CAST(l_partkey AS VARCHAR),"
+                        " CAST(l_suppkey AS VARCHAR), CAST(item_price AS VARCHAR),"
+                        " CAST(quantity AS VARCHAR)) AS order_item_id,")}, {quoted_form("l_partkey", "'plain'")} AS product_name
+  FROM order_lines)""", "order_lines")
+cte("quoted_numbered", f"""
+SELECT * REPLACE ({quoted_form("k", "replace(promotion_ids, chr(10), ' ')")} AS promotion_ids),
+       strftime(bought, '%Y-%m-%dT%H:%M:%SZ') AS date_text,
+       row_number() OVER (PARTITION BY store_name ORDER BY k, bought, sku, quantity_text, price_text,
+         coalesce(CASE k % 6 WHEN 5 THEN replace(promotion_ids, chr(10), ' ') END, ''), order_status, currency) + 1 AS source_row_no
+FROM monthly_lines
+""", "monthly_lines")
+oracle("monthly_quotes", """
+SELECT store_name, source_row_no, amazon_order_id,
+       'txt-' || source_row_no || '-' || substr(sha256(concat_ws('|', store_name, '1996-05-01', amazon_order_id, sku, '',
+       date_text, quantity_text, price_text, CAST(source_row_no AS VARCHAR))), 1, 24) AS order_item_id,
+       bought AS purchase_date_utc, sku, quantity, CAST(price_text AS DOUBLE) AS item_price, promotion_ids,
+       order_status, currency
+FROM quoted_numbered""", "quoted_numbered")

@@ -639,6 +639,27 @@ def ingest_monthly(spark, folder):
     )
 
 
+@query
+def strict_quotes(spark, folder):
+    """Strict reports whose product names hold inch marks, doubled quotes, tabs and line breaks."""
+    root = derived.write_quoted_reports(spark, folder)
+    warehouse = Warehouse(spark, f"{root}-warehouse")
+    order_import.import_strict(warehouse, root, STORE_FOLDERS)
+    return warehouse.read(order_import.ORDERS_TABLE).select(*IMPORTED, "product_name")
+
+
+@query
+def monthly_quotes(spark, folder):
+    """Monthly files with quotes in every form: the rows, their numbers and their texts."""
+    warehouse = _warehouse(spark)
+    for store, path in derived.write_quoted_monthly(spark, folder).items():
+        order_import.import_monthly(warehouse, path, apply=True, replace_month=True, store=store, month="1996-05")
+    return warehouse.read(order_import.ORDERS_TABLE).select(
+        "store_name", "source_row_no", "amazon_order_id", "order_item_id", "purchase_date_utc", "sku", "quantity",
+        "item_price", "promotion_ids", "order_status", "currency",
+    )
+
+
 @query
 def monthly_precheck(spark, folder):
     """Counts stated without a write: rows of the file, rows it would replace, rows of no quantity."""
