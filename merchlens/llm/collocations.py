@@ -5,12 +5,12 @@ within pieces, per language. Words that are too rare to stand in a frequent phra
 others. The rest get ids in order of frequency, so that frequent neighbours fall into few square
 tiles of TILE x TILE pairs of ids. A block of pairs is dealt to its tiles; a tile with many pairs is
 counted with a dense bincount over its cells, all others as sorted coordinates with their counts.
-Frequent pairs are ranked and numbered anew in the same way, and a phrase of three words is a pair
-again: the number of its first two words and the id of the third.
+Frequent pairs are ranked anew by frequency, and a phrase of three words is a pair again: the rank of
+its first two words and the id of the third, dealt to tiles and counted in the same way.
 
 Texts are kept as chunks of one language: the different words and the places they take. Numbers reach
-a chunk by joining its different words (pairs) with the numbered ones, so nothing that grows with the
-corpus is broadcast, a word that stands everywhere comes once a chunk, and no Python task holds more
+a chunk by joining its different words with the numbered ones, so nothing that grows with the corpus
+is broadcast, a word that stands everywhere comes once a chunk, and no Python task holds more
 than a chunk at a time.
 
 Scores are exact: floor(1,000,000 a^2 / (l r)) in decimals of 38 digits. The first rows of a language
@@ -155,11 +155,6 @@ def count_pairs(left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.nda
     return i, j, n
 
 
-def _ids(row: pa.Table, column: str) -> np.ndarray:
-    """An int64 array out of the only binary value of ``column``."""
-    return np.frombuffer(row.column(column)[0].as_buffer(), np.int64)
-
-
 def _looked_up(size: int, found: pa.Table) -> np.ndarray:
     """Ids by place; -1 where there is none."""
     out = np.full(size, -1)
@@ -176,18 +171,24 @@ def often(rows: DataFrame, key: list[str], least: int) -> DataFrame:
 
 
 def with_word_ids(chunked: DataFrame, frequent: DataFrame, vocabulary: DataFrame) -> DataFrame:
-    """(chunk, ids): the ids of a chunk's words in order; -1 stands for the end of a piece and for rare words."""
+    """(chunk, ids): the ids of a chunk's words in order; -1 stands for the end of a piece and for rare words.
+
+    Ids are as short as the vocabulary allows.
+    """
+    kind = "<i4" if vocabulary.count() < 2**31 else "<i8"
     places = frequent.join(vocabulary.select("lang", "word", "id"), ["lang", "word"]).select(F.col("chunk").alias("of"), "place", "id")
 
     def of(key, found, row):
         if not row.num_rows:
-            return pa.table({"chunk": pa.array([], pa.int64()), "ids": pa.array([], pa.binary())})
+            return pa.table({"chunk": pa.array([], pa.int64()), "ids": pa.array([], pa.binary()), "wide": pa.array([], pa.bool_())})
         codes = np.frombuffer(row.column("codes")[0].as_buffer(), np.int32)
         ids = np.append(_looked_up(int(codes.max(initial=-1)) + 1, found), -1)[codes]
         ids = ids[(ids >= 0) | (np.append(-1, ids[:-1]) >= 0)]  # one break is enough
-        return pa.table({"chunk": row.column("chunk"), "ids": pa.array([ids.tobytes()], pa.binary())})
+        return pa.table({"chunk": row.column("chunk"), "ids": pa.array([ids.astype(kind).tobytes()], pa.binary()), "wide": pa.array([kind == "<i8"])})
 
-    return places.groupBy("of").cogroup(chunked.select("chunk", "codes").groupBy("chunk")).applyInArrow(of, "chunk long, ids binary")
+    return places.groupBy("of").cogroup(chunked.select("chunk", "codes").groupBy("chunk")).applyInArrow(
+        of, "chunk long, ids binary, wide boolean"
+    )
 
 
 def different_pairs(ids: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -205,35 +206,47 @@ def different_pairs(ids: np.ndarray) -> tuple[np.ndarray, ...]:
     return i, j, n, which
 
 
+def _ids(value: pa.BinaryScalar, wide: bool) -> np.ndarray:
+    return np.frombuffer(value.as_buffer(), "<i8" if wide else "<i4").astype(np.int64)
+
+
 def pairs_of_chunks(sequences: DataFrame) -> DataFrame:
-    """(chunk, place, i, j, n): the different neighbours of each chunk of ``sequences`` (chunk, ids)."""
+    """(i, j, chunk, place, n): the different neighbours of each chunk of ``sequences``."""
     def of(batches):
         for batch in batches:
-            for chunk, ids in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                i, j, n, _ = different_pairs(np.frombuffer(ids.as_buffer(), np.int64))
+            for chunk, ids, wide in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist(), strict=True):
+                i, j, n, _ = different_pairs(_ids(ids, wide))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(i), chunk)), pa.array(np.arange(len(i), dtype=np.int32)), pa.array(i), pa.array(j), pa.array(n)],
-                    ["chunk", "place", "i", "j", "n"],
+                    [pa.array(i), pa.array(j), pa.array(np.full(len(i), chunk)), pa.array(np.arange(len(i), dtype=np.int32)),
+                     pa.array(n.astype(np.int32))], ["i", "j", "chunk", "place", "n"],
                 )
 
-    return sequences.mapInArrow(of, "chunk long, place int, i long, j long, n long")
+    return sequences.select("chunk", "ids", "wide").mapInArrow(of, "i long, j long, chunk long, place int, n int")
 
 
-def triples(sequences: DataFrame, frequent: DataFrame, pairs: DataFrame) -> DataFrame:
-    """(pair, k, n): counts of a frequent pair (its id) before word k, where the last two words are frequent together too."""
-    places = frequent.select("chunk", "place", "i", "j").join(pairs.select("i", "j", "id"), ["i", "j"]).select("chunk", "place", "id")
+def triples(sequences: DataFrame, frequent: DataFrame) -> DataFrame:
+    """(i, j, k, n): counts of a frequent pair before a third word, where the last two words are frequent together too.
 
+    ``frequent``: (chunk, place, f) of the pairs of ``pairs_of_chunks`` that are. The frequent pairs of a chunk are
+    ranked anew by how frequent they are in all, and with the third word dealt to tiles as words are.
+    """
     def of(key, found, row):
-        pair, k, n = (np.zeros(0, np.int64) for _ in range(3))
-        if row.num_rows:
-            ids = _ids(row, "ids")
-            i, _, _, which = different_pairs(ids)
-            at = np.append(_looked_up(len(i), found), -1)[which]
+        i, j, k, n = (np.zeros(0, np.int64) for _ in range(4))
+        if row.num_rows and found.num_rows:
+            ids = _ids(row.column("ids")[0], row.column("wide")[0].as_py())
+            first, second, _, which = different_pairs(ids)
+            place = found.column("place").to_numpy()
+            place = place[np.lexsort((place, -found.column("f").to_numpy()))]
+            rank = np.full(len(first) + 1, -1)
+            rank[place] = np.arange(len(place))
+            at = rank[which]
             good = (at[:-1] >= 0) & (at[1:] >= 0)
             pair, k, n = count_pairs(at[:-1][good], ids[2:][good])
-        return pa.table({"pair": pa.array(pair), "k": pa.array(k), "n": pa.array(n)})
+            i, j = first[place][pair], second[place][pair]
+        return pa.table({"i": pa.array(i), "j": pa.array(j), "k": pa.array(k), "n": pa.array(n)})
 
-    return places.groupBy("chunk").cogroup(sequences.groupBy("chunk")).applyInArrow(of, "pair long, k long, n long")
+    places = frequent.select(F.col("chunk").alias("of"), "place", "f")
+    return places.groupBy("of").cogroup(sequences.groupBy("chunk")).applyInArrow(of, "i long, j long, k long, n long")
 
 
 def score(a, left, right):
@@ -253,31 +266,32 @@ def collocations(docs: DataFrame, least: int = LEAST, share: int = SHARE, first:
     sequences = store(with_word_ids(chunked, frequent, words), "phrase-ids")
 
     frequent = store(often(pairs_of_chunks(sequences), ["i", "j"], least), "phrase-pairs")
-    pairs = numbered(frequent.select("i", "j", "f").distinct(), F.col("f").desc(), "i", "j")
-    three = triples(sequences, frequent, pairs).groupBy("pair", "k").agg(F.sum("n").alias("a")).filter(F.col("a") >= least)
+    pairs = frequent.select("i", "j", "f").distinct()
+    three = triples(sequences, frequent).groupBy("i", "j", "k").agg(F.sum("n").alias("a")).filter(F.col("a") >= least)
 
     def word(name, *more):
         return words.select(F.col("id").alias(name), F.col("word").alias(f"{name}_word"), F.col("f").alias(f"{name}_f"), *more)
 
     named = store(
         pairs.join(word("i", "lang"), "i").join(word("j"), "j")
-        .select("id", "lang", "i", "j", "f", "i_f", "j_f", F.concat_ws(" ", "i_word", "j_word").alias("phrase")), "phrase-named",
+        .select("lang", "i", "j", "f", "i_f", "j_f", F.concat_ws(" ", "i_word", "j_word").alias("phrase")), "phrase-named",
     )
-    head = named.select(F.col("id").alias("pair"), "lang", F.col("phrase").alias("_head"), F.col("f").alias("_head_f"), "i_f", F.col("j").alias("_j"))
-    tail = named.select(F.col("id").alias("tail"), F.col("i").alias("_j"), F.col("j").alias("k"), F.col("f").alias("_tail_f"), F.col("j_f").alias("k_f"))
+    head = named.select("i", "j", "lang", F.col("phrase").alias("_head"), F.col("f").alias("_head_f"), "i_f")
+    tail = named.select(F.col("i").alias("j"), F.col("j").alias("k"), F.col("f").alias("_tail_f"), F.col("j_f").alias("k_f"))
     third = words.select(F.col("id").alias("k"), F.col("word").alias("_third"))
-    three = three.join(head, "pair").join(tail, ["_j", "k"]).join(third, "k")
+    three = three.join(head, ["i", "j"]).join(tail, ["j", "k"]).join(third, "k")
     early, late = score(F.col("a"), F.col("i_f"), F.col("_tail_f")), score(F.col("a"), F.col("_head_f"), F.col("k_f"))
     three = store(
         three.withColumns({"_early": early, "_late": late}).select(
-            "lang", "pair", "tail", F.concat_ws(" ", "_head", "_third").alias("phrase"), "a",
+            "lang", "i", "j", "k", F.concat_ws(" ", "_head", "_third").alias("phrase"), "a",
             F.when(F.col("_early") <= F.col("_late"), F.col("i_f")).otherwise(F.col("_head_f")).alias("l"),
             F.when(F.col("_early") <= F.col("_late"), F.col("_tail_f")).otherwise(F.col("k_f")).alias("r"),
             F.least("_early", "_late").alias("score"),
         ), "phrase-triples",
     )
-    longer = three.select(F.explode(F.array("pair", "tail")).alias("id"), "a").groupBy("id").agg(F.max("a").alias("_most"))
-    two = named.join(longer, "id", "left").filter(F.coalesce(100 * F.col("_most") < share * F.col("f"), F.lit(True))).select(
+    inner = F.explode(F.array(F.struct(F.col("i"), F.col("j")), F.struct(F.col("j").alias("i"), F.col("k").alias("j"))))
+    longer = three.select(inner.alias("in"), "a").groupBy("in.i", "in.j").agg(F.max("a").alias("_most"))
+    two = named.join(longer, ["i", "j"], "left").filter(F.coalesce(100 * F.col("_most") < share * F.col("f"), F.lit(True))).select(
         "lang", "phrase", F.col("f").alias("a"), F.col("i_f").alias("l"), F.col("j_f").alias("r"),
         score(F.col("f"), F.col("i_f"), F.col("j_f")).alias("score"),
     )
