@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import uuid
 from urllib.parse import unquote
 
@@ -181,11 +182,11 @@ def write_monthly(spark: SparkSession, folder: str, first_lines_only: bool = Fal
     return _paths_by_store(spark, root)
 
 
-def _monthly_report(lines: DataFrame, quoted: bool = False) -> tuple[DataFrame, list[Column]]:
+def _monthly_report(lines: DataFrame, quoted: bool = False, year: int = 1996) -> tuple[DataFrame, list[Column]]:
     """The columns of a monthly file, and the order its lines stand in."""
     key = F.col("amazon_order_id").cast("bigint")
     at = F.make_timestamp_ntz(
-        F.lit(1996), F.lit(5), (key % 28 + 2).cast("int"), (key % 24).cast("int"), F.lit(0), F.lit(0)
+        F.lit(year), F.lit(5), (key % 28 + 2).cast("int"), (key % 24).cast("int"), F.lit(0), F.lit(0)
     )
     promotion = quoted_form(key, F.col("promotion_ids")) if quoted else F.replace("promotion_ids", F.lit(" "), F.lit("\n"))
     report = lines.select(
@@ -205,6 +206,30 @@ def _paths_by_store(spark: SparkSession, root: str) -> dict[str, str]:
     return {names[unquote(f).split("/")[-2]]: unquote(f) for f in spark.read.text(root).inputFiles()}
 
 
+#: Codes of monthly file names; every store of the tables is one of these.
+CODES = {"AFRICA-US": "JQ", "AMERICA-US": "MT", "ASIA-US": "RKZ", "EUROPE-US": "SY", "MIDDLE EAST-US": "SY"}
+
+
+def land_deliveries(spark: SparkSession, folder: str, land: str, first_lines_only: bool, day: int, codes: list[str]) -> None:
+    """Monthly files of 2026-05 under the names they are delivered by, modified on ``day`` of the month after."""
+    lines = star.order_lines(spark, folder)
+    if first_lines_only:
+        lines = lines.filter("l_linenumber = 1")
+    code = F.element_at(F.create_map(*[F.lit(x) for pair in CODES.items() for x in pair]), F.col("store_name"))
+    report, order = _monthly_report(lines.withColumn("store_name", code).filter(F.col("store_name").isin(codes)), year=2026)
+    root = f"{scratch_root(spark)}/delivery-{uuid.uuid4().hex}"
+    _write_text(report.repartition(len(codes), "store").sortWithinPartitions("store", *order), root)
+    jvm, settings = spark._jvm, spark._jsc.hadoopConfiguration()
+    at = int(dt.datetime(2026, 6, day, tzinfo=dt.timezone.utc).timestamp() * 1000)
+    # One file per code of the list above.
+    for name in spark.read.text(root).inputFiles():
+        given = jvm.org.apache.hadoop.fs.Path(unquote(name))
+        landed = jvm.org.apache.hadoop.fs.Path(f"{land}/{given.getParent().getName().split('=')[1]}2605-{day:02d}.txt")
+        system = landed.getFileSystem(settings)
+        jvm.org.apache.hadoop.fs.FileUtil.copy(given.getFileSystem(settings), given, system, landed, False, settings)
+        system.setTimes(landed, at, -1)
+
+
 def quoted_form(key: Column, plain: Column) -> Column:
     """Report text in every form a quote comes in: inch mark, quoted break, doubled quotes, text after the end, none."""
     at = key % 6

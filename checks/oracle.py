@@ -842,3 +842,15 @@ SELECT store_name, source_row_no, amazon_order_id,
        bought AS purchase_date_utc, sku, quantity, CAST(price_text AS DOUBLE) AS item_price, promotion_ids,
        order_status, currency
 FROM quoted_numbered""", "quoted_numbered")
+cte("delivered_lines", """
+SELECT * REPLACE (CASE store_name WHEN 'AFRICA-US' THEN 'JQ-US' WHEN 'AMERICA-US' THEN 'MT-US' WHEN 'ASIA-US' THEN 'RKZ-US'
+                  ELSE 'SY-US' END AS store_name)
+FROM monthly_lines
+""", "monthly_lines")
+oracle("monthly_deliveries", """
+SELECT store_name, CASE WHEN store_name IN ('JQ-US', 'SY-US') THEN 1 ELSE 2 END::BIGINT AS deliveries, 9 AS day,
+       DATE '2026-05-01' AS report_month, amazon_order_id, bought + INTERVAL 30 YEAR AS purchase_date_utc, sku, quantity,
+       CAST(price_text AS DOUBLE) AS item_price, promotion_ids,
+       row_number() OVER (PARTITION BY store_name ORDER BY k, bought, sku, quantity_text, price_text,
+         coalesce(promotion_ids, ''), order_status, currency) + 1 AS source_row_no
+FROM delivered_lines""", "delivered_lines")

@@ -22,7 +22,7 @@ from merchlens.session import materialize, scratch_root
 from merchlens.sources import files, order_files, performance_pages
 from merchlens.sources import star_tables as star
 from merchlens.sources.warehouse import Warehouse
-from merchlens.streaming.ingest import stream_strict_orders
+from merchlens.streaming.ingest import DELIVERY_TABLE, stream_monthly_orders, stream_strict_orders
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -639,6 +639,23 @@ def ingest_monthly(spark, folder):
     )
 
 
+@query
+def monthly_deliveries(spark, folder):
+    """Streamed months: two stores deliver again, in the other two the older delivery lands last and is set aside."""
+    warehouse = _warehouse(spark)
+    land = f"{warehouse.root}-land"
+    for first, day, codes in ((False, 9, ["JQ", "SY"]), (True, 5, ["JQ", "MT", "RKZ", "SY"]), (False, 9, ["MT", "RKZ"])):
+        derived.land_deliveries(spark, folder, land, first, day, codes)
+        stream_monthly_orders(warehouse, land, f"{warehouse.root}-progress").awaitTermination()
+    loaded = warehouse.read(DELIVERY_TABLE).groupBy("store_name").agg(
+        F.count(F.lit(1)).alias("deliveries"), F.dayofmonth(F.max("delivered_at")).alias("day")
+    )
+    return warehouse.read(order_import.ORDERS_TABLE).join(loaded, "store_name").select(
+        "store_name", "deliveries", "day", "report_month", "source_row_no", "amazon_order_id", "purchase_date_utc", "sku",
+        "quantity", "item_price", "promotion_ids",
+    )
+
+
 @query
 def strict_quotes(spark, folder):
     """Strict reports whose product names hold inch marks, doubled quotes, tabs and line breaks."""

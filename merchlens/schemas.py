@@ -88,6 +88,9 @@ TABLES = {
         "store_name string, report_date date, sku string, asin string, ad_type string, orders bigint, "
         "sales decimal(18,4), cost decimal(18,4), clicks bigint, impressions bigint"
     ),
+    "etl_monthly_delivery_log": (
+        "store_name string, report_month date, source_file string, delivered_at timestamp, loaded_at timestamp_ntz"
+    ),
     "listing": "`店铺` string, `店铺id` string, MSKU string, SKU string, `负责人` string, `状态` int",
     "product_category_snapshot": (
         "sku string, product_name string, spu string, category_name string, category_path string, "
