@@ -166,6 +166,13 @@ PARTITIONS = {
 }
 
 
+# Logs are only ever appended to: of the entries of a key the one written last counts.
+LOG_KEYS = {
+    "etl_file_import_log": ["target_table", "store_name", "source_file_sha256"],
+    "etl_product_performance_monthly_log": ["report_month", "sid"],
+}
+
+
 def schema_of(table: str) -> T.StructType:
     return T.StructType.fromDDL(TABLES[table])
 

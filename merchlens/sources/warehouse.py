@@ -7,10 +7,18 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from merchlens.schemas import PARTITIONS, conform, schema_of
+from merchlens.schemas import LOG_KEYS, PARTITIONS, conform, schema_of
 from merchlens.session import materialize
 
 
+def last_entries(entries: DataFrame, key: list[str]) -> DataFrame:
+    """The last entry of each key of an append-only log: by its last time, an ended one after one that runs."""
+    written = F.struct(F.coalesce("finished_at", "started_at"), F.col("finished_at").isNotNull(), "status")
+    rest = [c for c in entries.columns if c not in key]
+    last = entries.groupBy(*key).agg(F.max_by(F.struct(*rest), written).alias("_last"))
+    return last.select(*[F.col(c) if c in key else F.col(f"_last.{c}") for c in entries.columns])
+
+
 @dataclass(frozen=True)
 class Warehouse:
     spark: SparkSession
@@ -28,7 +36,8 @@ class Warehouse:
         schema = schema_of(table)
         if not self.exists(table):
             return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(self.path(table))
+        stored = self.spark.read.schema(schema).parquet(self.path(table))
+        return last_entries(stored, LOG_KEYS[table]) if table in LOG_KEYS else stored
 
     def append(self, table: str, df: DataFrame) -> None:
         self._writer(conform(df, table), table).mode("append").parquet(self.path(table))

@@ -362,3 +362,22 @@ def test_failed_import_can_be_repeated(spark, tmp_path):
     assert oi.import_strict(wh, str(src), MAP).count() == 1
     assert rows_of(wh.read(oi.LOG_TABLE), "status") == [("failed",), ("success",)]
     assert frame(spark, oi.LOG_TABLE, []).count() == 0
+
+
+def test_the_log_is_only_appended_to(spark, tmp_path):
+    wh = warehouse(spark, tmp_path)
+    key = dict(target_table="t", store_name="s")
+
+    def entry(sha, status, start, end=None):
+        return dict(key, source_file_sha256=sha, status=status, started_at=start, finished_at=end)
+
+    early, late = dt.datetime(2025, 1, 1), dt.datetime(2025, 1, 2)
+    written = [entry("a", "running", early), entry("a", "success", early, early), entry("b", "success", early, early),
+               entry("b", "running", late), entry("c", "failed", early, late), entry("c", "success", late, late)]
+    for row in written:
+        wh.append(oi.LOG_TABLE, frame(spark, oi.LOG_TABLE, [row]))
+    before = {f.name for f in (tmp_path / "wh" / oi.LOG_TABLE).iterdir()}
+    assert rows_of(wh.read(oi.LOG_TABLE), "source_file_sha256", "status") == [("a", "success"), ("b", "running"), ("c", "success")]
+    wh.append(oi.LOG_TABLE, frame(spark, oi.LOG_TABLE, [entry("b", "success", late, late)]))
+    assert {f.name for f in (tmp_path / "wh" / oi.LOG_TABLE).iterdir() if f.suffix == ".parquet"} > {f for f in before if f.endswith(".parquet")}
+    assert rows_of(wh.read(oi.LOG_TABLE), "source_file_sha256", "status") == [("a", "success"), ("b", "success"), ("c", "success")]
