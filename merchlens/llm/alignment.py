@@ -38,7 +38,7 @@ from merchlens.llm.common import as_array, store, table
 BYTES_VOCABULARY = "/opt/tokenizers/byte_bpe_50k.json"
 PIECES_VOCABULARY = pieces.VOCABULARY
 #: Units a process keeps between blocks.
-KEPT_UNITS = 50_000
+KEPT_UNITS = 40_000
 #: Characters that one of the two may take as white space.
 BLANK = "᠎​﻿"
 SHIFT = 2**32
@@ -105,23 +105,29 @@ class Aligner:
     """Both vocabularies, and what is known of units: n_a, n_b, links (pairs of ids as one number), groups."""
 
     def __init__(self, bytes_model: bytes, pieces_model: bytes) -> None:
+        import sentencepiece
+
         self.tokenizer = _bytes_tokenizer(bytes_model)
-        self.pieces = pieces.vocabulary(pieces_model)
-        if not self.pieces.splits:
+        own = pieces.vocabulary(pieces_model)
+        self.library, self.space = sentencepiece.SentencePieceProcessor(model_proto=pieces_model), own.ids[pieces.SPACE]
+        if not own.splits:
             raise ValueError("a piece holds a space after another character: texts cannot be cut before spaces")
         self.a, self.b = surfaces(bytes_model, pieces_model)
         self.size_a = np.fromiter(map(len, self.a), np.int64, len(self.a))
         self.size_b = np.fromiter(map(len, self.b), np.int64, len(self.b))
+        # Units of late and of the time before: what comes again and again is never lost.
         self.known: dict[str, tuple | None] = {}
+        self.before: dict[str, tuple | None] = {}
 
     def _learn(self, texts: list[str]) -> list[tuple | None]:
         """What is to be known of each of ``texts`` (units with their first space); None where the bytes differ."""
         encoded = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-        packed = [self.pieces.encode_unit(t.replace(" ", pieces.SPACE), keep=False) for t in texts]
+        # The library puts the first space itself, but not before nothing.
+        second = [b or [self.space] for b in self.library.encode([t[1:] for t in texts], num_threads=1)]
         n_a = np.fromiter(map(len, encoded), np.int64, len(texts))
-        n_b = np.fromiter(map(len, packed), np.int64, len(texts)) // 4
+        n_b = np.fromiter(map(len, second), np.int64, len(texts))
         flat_a = np.fromiter(chain.from_iterable(encoded), np.int64, n_a.sum())
-        flat_b = np.frombuffer(b"".join(packed), np.int32).astype(np.int64)
+        flat_b = np.fromiter(chain.from_iterable(second), np.int64, n_b.sum())
         raw = [t.encode() for t in texts]
         size = np.fromiter(map(len, raw), np.int64, len(raw))
         fits = (_sums(self.size_a[flat_a], n_a) == size) & (_sums(self.size_b[flat_b], n_b) == size)
@@ -159,12 +165,14 @@ class Aligner:
         texts = as_array(texts)
         codes, offsets, found = pieces.units(texts, lambda part: bool(part) and not (part[-1].isspace() or part[-1] in BLANK))
         found = [" " + u for u in found]
-        if len(self.known) >= KEPT_UNITS:
-            self.known.clear()
-        new = [u for u in found if u not in self.known]
+        new = [u for u in found if u not in self.known and u not in self.before]
         learnt = dict(zip(new, self._learn(new), strict=True)) if new else {}
-        facts = [learnt[u] if u in learnt else self.known[u] for u in found]
+        for kept in (self.before, self.known):
+            learnt.update((u, kept[u]) for u in found if u in kept)
+        facts = [learnt[u] for u in found]
         self.known.update((u, f) for u, f in learnt.items() if len(u) <= pieces.KEPT_LENGTH)
+        if len(self.known) >= KEPT_UNITS:
+            self.before, self.known = self.known, {}
         bad = np.fromiter((f is None for f in facts), bool, len(facts))
         if bad.any():  # such a text has no tokens at all
             hit = np.concatenate([[0], np.cumsum(bad[codes])])
