@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -28,8 +29,12 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """Folder for materialised intermediates: the shared one the cluster names, or one in the warehouse folder."""
-    root = spark.conf.get(CHECKPOINT_DIR, None) or f"{spark.conf.get('spark.sql.warehouse.dir')}/scratch"
+    """Folder for materialised intermediates: the shared one the cluster names; on one machine else one in the warehouse folder."""
+    root = spark.conf.get(CHECKPOINT_DIR, None)
+    if not root:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError(f"{CHECKPOINT_DIR} must name a folder that all executors share")
+        root = f"{spark.conf.get('spark.sql.warehouse.dir')}/scratch"
     return f"{root.rstrip('/')}/{SCRATCH_FOLDER}/{spark.sparkContext.applicationId}"
 
 
