@@ -40,7 +40,7 @@ NORMAL, UNKNOWN, CONTROL, BYTE = 1, 2, 3, 6
 UNKNOWN_SURFACE = " ⁇ "
 #: Text bytes that are taken at a time, units and pairs that a process keeps, and the longest kept unit.
 BLOCK_BYTES = 2 << 20
-KEPT_UNITS, KEPT_PAIRS, KEPT_LENGTH = 100_000, 300_000, 200
+KEPT_UNITS, KEPT_PAIRS, KEPT_LENGTH = 80_000, 500_000, 200
 
 
 def _fields(data: bytes):
@@ -107,7 +107,9 @@ class Pieces:
             self.automaton.add_word(name, (i, len(name)))
         self.automaton.make_automaton()
         self.pairs: dict[int, bool] = {}
+        # Units of late and of the time before: what comes again and again is never lost.
         self.units: dict[str, bytes] = {}
+        self.before: dict[str, bytes] = {}
         self.sizes = [len(n) for n in self.names]
         surfaces = [
             bytes([int(n[3:5], 16)]) if k == BYTE else b"" if k == CONTROL else UNKNOWN_SURFACE.encode() if k == UNKNOWN
@@ -173,6 +175,10 @@ class Pieces:
         known = self.units.get(unit)
         if known is not None:
             return known
+        known = self.before.get(unit)
+        if known is not None:
+            self.units[unit] = known
+            return known
         last, out, at, sizes = self._table(unit), array("i"), len(unit) - 1, self.sizes
         while at >= 0:
             token = last[at]
@@ -186,7 +192,7 @@ class Pieces:
         ids = out.tobytes()
         if keep and len(unit) <= KEPT_LENGTH:
             if len(self.units) >= KEPT_UNITS:
-                self.units.clear()
+                self.before, self.units = self.units, {}
             self.units[unit] = ids
         return ids
 
