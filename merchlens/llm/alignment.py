@@ -101,8 +101,20 @@ def _sums(values: np.ndarray, many: np.ndarray) -> np.ndarray:
     return total[ends] - total[ends - many]
 
 
+def _concatenated(values: pa.Array, ids: np.ndarray) -> tuple[pa.Buffer, np.ndarray]:
+    """The bytes of ``values[ids]`` one after the other, and where each begins (and the last ends)."""
+    taken = values.take(pa.array(ids))
+    ends = np.frombuffer(taken.buffers()[1], np.int32, len(ids) + 1) if len(ids) else np.zeros(1, np.int32)
+    data = taken.buffers()[2] if len(ids) else None
+    return (data if data is not None else pa.py_buffer(b"")).slice(0, int(ends[-1])), ends
+
+
 class Aligner:
-    """Both vocabularies, and what is known of units: n_a, n_b, links (pairs of ids as one number), groups."""
+    """Both vocabularies, and what is known of units: n_a, n_b and the tokens of the groups.
+
+    The tokens stand group by group, A's before B's, as id + ``width`` * k, where k tells what follows in
+    the text of the groups: 0 another token of the side, 1 the other side, 2 another group, 3 nothing.
+    """
 
     def __init__(self, bytes_model: bytes, pieces_model: bytes) -> None:
         import sentencepiece
@@ -112,9 +124,12 @@ class Aligner:
         self.library, self.space = sentencepiece.SentencePieceProcessor(model_proto=pieces_model), own.ids[pieces.SPACE]
         if not own.splits:
             raise ValueError("a piece holds a space after another character: texts cannot be cut before spaces")
-        self.a, self.b = surfaces(bytes_model, pieces_model)
-        self.size_a = np.fromiter(map(len, self.a), np.int64, len(self.a))
-        self.size_b = np.fromiter(map(len, self.b), np.int64, len(self.b))
+        a, b = surfaces(bytes_model, pieces_model)
+        self.a, self.b = pa.array(a, pa.binary()), pa.array(b, pa.binary())
+        self.size_a = np.fromiter(map(len, a), np.int64, len(a))
+        self.size_b = np.fromiter(map(len, b), np.int64, len(b))
+        self.width = max(len(a), len(b))
+        self.names = pa.array([f"{i}{mark}" for mark in (",", "|", ";", "") for i in range(self.width)])
         # Units of late and of the time before: what comes again and again is never lost.
         self.known: dict[str, tuple | None] = {}
         self.before: dict[str, tuple | None] = {}
@@ -131,69 +146,78 @@ class Aligner:
         raw = [t.encode() for t in texts]
         size = np.fromiter(map(len, raw), np.int64, len(raw))
         fits = (_sums(self.size_a[flat_a], n_a) == size) & (_sums(self.size_b[flat_b], n_b) == size)
-        for table_, flat, n in ((self.a, flat_a, n_a), (self.b, flat_b, n_b)):
-            flat = flat[np.repeat(fits, n)]
-            if b"".join([table_[i] for i in flat.tolist()]) != b"".join([r for r, f in zip(raw, fits, strict=True) if f]):
-                ends = np.cumsum(n[fits])
-                for k, start, end in zip(np.flatnonzero(fits).tolist(), (ends - n[fits]).tolist(), ends.tolist(), strict=True):
-                    fits[k] = b"".join([table_[i] for i in flat[start:end].tolist()]) == raw[k]
+        for values, flat, n in ((self.a, flat_a, n_a), (self.b, flat_b, n_b)):
+            data, places = _concatenated(values, flat[np.repeat(fits, n)])
+            if not data.equals(pa.py_buffer(b"".join([raw[k] for k in np.flatnonzero(fits).tolist()]))):
+                bounds, data = places[np.concatenate([[0], np.cumsum(n[fits])])].tolist(), data.to_pybytes()
+                for k, start, end in zip(np.flatnonzero(fits).tolist(), bounds, bounds[1:], strict=False):
+                    fits[k] = data[start:end] == raw[k]
         flat_a, flat_b = flat_a[np.repeat(fits, n_a)], flat_b[np.repeat(fits, n_b)]
         out: list[tuple | None] = [None] * len(texts)
         if not fits.any():
             return out
-        ends_a, ends_b = np.cumsum(self.size_a[flat_a]), np.cumsum(self.size_b[flat_b])
-        label_a, label_b = terminals(ends_a, ends_b)
+        label_a, label_b = terminals(np.cumsum(self.size_a[flat_a]), np.cumsum(self.size_b[flat_b]))
         last_b = np.flatnonzero(label_b == np.arange(len(flat_b)))  # terminal tokens, in order
-        last_a = np.searchsorted(ends_a, ends_b[last_b])
-        links = flat_a[last_a] * SHIFT + flat_b[last_b]
         # Tokens of a group stand together: its ends on both sides tell its members.
-        cut_a, cut_b = (np.searchsorted(label, last_b, "right").tolist() for label in (label_a, label_b))
-        names_a, names_b = list(map(str, flat_a.tolist())), list(map(str, flat_b.tolist()))
-        groups = [
-            f"{names_a[i] if i + 1 == j else ','.join(names_a[i:j])}|{names_b[k] if k + 1 == m else ','.join(names_b[k:m])}"
-            for i, j, k, m in zip([0, *cut_a], cut_a, [0, *cut_b], cut_b, strict=False)
-        ]
-        ends = np.searchsorted(last_b, np.cumsum(n_b[fits]) - 1, "right").tolist()
-        packed_links, at = links.tobytes(), 0
-        for k, end in zip(np.flatnonzero(fits).tolist(), ends, strict=True):
-            out[k] = (int(n_a[k]), int(n_b[k]), packed_links[8 * at : 8 * end], ";".join(groups[at:end]))
+        cut_a, cut_b = (np.searchsorted(label, last_b, "right") for label in (label_a, label_b))
+        flat_a[cut_a - 1] += self.width
+        flat_b[cut_b - 1] += 2 * self.width
+        before_a = np.repeat(np.concatenate([[0], cut_b[:-1]]), np.diff(cut_a, prepend=0))
+        before_b = np.repeat(cut_a, np.diff(cut_b, prepend=0))
+        tokens = np.empty(len(flat_a) + len(flat_b), np.int32)
+        tokens[np.arange(len(flat_a)) + before_a] = flat_a
+        tokens[np.arange(len(flat_b)) + before_b] = flat_b
+        packed, at = tokens.tobytes(), 0
+        for k, of_a, of_b in zip(np.flatnonzero(fits).tolist(), n_a[fits].tolist(), n_b[fits].tolist(), strict=True):
+            end = at + 4 * (of_a + of_b)
+            out[k] = (of_a, of_b, packed[at:end])
             at = end
         return out
 
+    def _facts(self, found: list[str]) -> list[tuple | None]:
+        """What is known of each unit; what is not is learnt, and the short ones kept."""
+        unseen: tuple = ()
+        facts = [self.known.get(u, unseen) for u in found]
+        late = [k for k, fact in enumerate(facts) if fact is unseen]
+        for k in late:
+            facts[k] = self.before.get(found[k], unseen)
+        new = [k for k in late if facts[k] is unseen]
+        if new:
+            for k, fact in zip(new, self._learn([found[k] for k in new]), strict=True):
+                facts[k] = fact
+        self.known.update((found[k], facts[k]) for k in late if len(found[k]) <= pieces.KEPT_LENGTH)
+        if len(self.known) >= KEPT_UNITS:
+            self.before, self.known = self.known, {}
+        return facts
+
     def align(self, texts: pa.Array) -> list[pa.Array]:
         """Columns n_a, n_b, n_groups, links and groups of each text."""
         texts = as_array(texts)
         codes, offsets, found = pieces.units(texts, lambda part: bool(part) and not (part[-1].isspace() or part[-1] in BLANK))
-        found = [" " + u for u in found]
-        new = [u for u in found if u not in self.known and u not in self.before]
-        learnt = dict(zip(new, self._learn(new), strict=True)) if new else {}
-        for kept in (self.before, self.known):
-            learnt.update((u, kept[u]) for u in found if u in kept)
-        facts = [learnt[u] for u in found]
-        self.known.update((u, f) for u, f in learnt.items() if len(u) <= pieces.KEPT_LENGTH)
-        if len(self.known) >= KEPT_UNITS:
-            self.before, self.known = self.known, {}
+        facts = self._facts([" " + u for u in found])
         bad = np.fromiter((f is None for f in facts), bool, len(facts))
         if bad.any():  # such a text has no tokens at all
             hit = np.concatenate([[0], np.cumsum(bad[codes])])
             lost = hit[offsets[1:]] > hit[offsets[:-1]]
             kept = np.repeat(~lost, np.diff(offsets))
             codes, offsets = codes[kept], np.concatenate([[0], np.cumsum(kept)])[offsets]
-        facts = [f or (0, 0, b"", "") for f in facts]
-        links, ends = pieces.gathered([f[2] for f in facts], codes, np.int64)
+        facts = [f or (0, 0, b"") for f in facts]
         totals = []
         for place in (0, 1):
             each = np.fromiter((f[place] for f in facts), np.int64, len(facts))
             total = np.concatenate([[0], np.cumsum(each[codes])])
             totals.append(pa.array(total[offsets[1:]] - total[offsets[:-1]]))
-        groups = [f[3] for f in facts]
-        rows = codes.tolist()
-        text = [";".join([groups[c] for c in rows[i:j]]) for i, j in zip(offsets.tolist(), offsets[1:].tolist(), strict=False)]
+        tokens, ends = pieces.gathered([f[2] for f in facts], codes, np.int32)
+        # The last A token and the last B token of each group are its link.
+        last_b = tokens >= 2 * self.width
+        last_a = (tokens >= self.width) & ~last_b
+        links = (tokens[last_a] - self.width).astype(np.int64) * SHIFT + (tokens[last_b] - 2 * self.width)
         bounds = ends[offsets]
-        return [
-            *totals, pa.array(np.diff(bounds)), pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(links)),
-            pa.array(text, pa.string()),
-        ]
+        of_text = np.concatenate([[0], np.cumsum(last_b)])[bounds]
+        tokens[bounds[1:][np.diff(bounds) > 0] - 1] += self.width
+        data, places = _concatenated(self.names, tokens)
+        groups = pa.StringArray.from_buffers(len(texts), pa.py_buffer(places[bounds].astype(np.int32)), data)
+        return [*totals, pa.array(np.diff(of_text)), pa.ListArray.from_arrays(pa.array(of_text, pa.int32()), pa.array(links)), groups]
 
 
 @lru_cache(maxsize=2)
