@@ -177,7 +177,7 @@ def ad_alloc_hybrid(spark, folder):
 
 @query
 def ad_alloc_hybrid_sorted(spark, folder):
-    return allocate.allocate_hybrid(*_day_inputs(spark, folder), day_method="sorted")
+    return allocate.allocate_hybrid(*_day_inputs(spark, folder), store_method="sorted")
 
 
 # --- classification and rollup -----------------------------------------------

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from merchlens.operators.ranking import rank_in_group
+from merchlens.operators.ranking import first_in_group, rank_in_group
 from merchlens.session import materialize
 from merchlens.rules import CONFIDENCE, DAY_SKU, MONTH_SKU, STORE_MONTH
 
@@ -41,13 +41,13 @@ def _ranked_by_day(base: DataFrame, demand_daily: DataFrame, method: str) -> Dat
     )
 
 
-def day_sku_rank(base: DataFrame, demand_daily: DataFrame, method: str = "window") -> DataFrame:
+def day_sku_rank(base: DataFrame, demand_daily: DataFrame, method: str = "sorted") -> DataFrame:
     """Candidates on days with demand for their SKU, ranked within store, day and SKU."""
     return _ranked_by_day(base, demand_daily, method).drop("sp_orders", "sd_orders", "ad_orders_raw")
 
 
 def allocate_day_sku(
-    base: DataFrame, demand_daily: DataFrame, version: str = "v1_20260727", method: str = "window"
+    base: DataFrame, demand_daily: DataFrame, version: str = "v1_20260727", method: str = "sorted"
 ) -> DataFrame:
     """Every candidate of a demanded day-SKU with a flag for those within the demand."""
     return _ranked_by_day(base, demand_daily, method).withColumns({
@@ -60,24 +60,31 @@ def allocate_day_sku(
     }).select(*ALLOCATION_COLUMNS)
 
 
+def _first_of_month(candidates: DataFrame, wanted: str, method: str) -> DataFrame:
+    """The first ``wanted`` candidates of each store and month, ranked among all of them."""
+    group = ["store_name", "order_month"]
+    order = ["first_purchase_date_utc", "amazon_order_id", "sku_key", "order_date"]
+    if method == "first":
+        return first_in_group(candidates, group, order, wanted)
+    return rank_in_group(candidates, group, order, method=method).filter(F.col("candidate_rank") <= F.col(wanted))
+
+
 def allocate_store_month(
     base: DataFrame,
     demand_monthly: DataFrame,
     version: str = "v3_product_month_20260727",
-    method: str = "sorted",
+    method: str = "first",
 ) -> DataFrame:
-    """The first ``ad_order_quantity`` candidates of each store and month."""
+    """The first ``ad_order_quantity`` candidates of each store and month.
+
+    ``method`` is ``first`` (rank only rows up to the last one wanted) or a method of ``rank_in_group``.
+    """
     demand = demand_monthly.filter("ad_order_quantity > 0").select(
         "store_name", "order_month", "ad_order_quantity"
     )
     # Candidates of store-months without a target leave before the ranking.
     wanted = order_sku_candidates(base).join(demand, ["store_name", "order_month"])
-    ranked = rank_in_group(
-        wanted, ["store_name", "order_month"],
-        ["first_purchase_date_utc", "amazon_order_id", "sku_key", "order_date"],
-        method=method,
-    )
-    return ranked.filter(F.col("candidate_rank") <= F.col("ad_order_quantity")).withColumns({
+    return _first_of_month(wanted, "ad_order_quantity", method).withColumns({
         "sp_orders": F.lit(0).cast("long"),
         "sd_orders": F.lit(0).cast("long"),
         "ad_orders_raw": F.lit(1).cast("long"),
@@ -145,12 +152,13 @@ def allocate_hybrid(
     base: DataFrame,
     demand_daily: DataFrame,
     version: str = "v2_hybrid_20260727",
-    day_method: str = "window",
-    store_method: str = "sorted",
+    day_method: str = "sorted",
+    store_method: str = "first",
 ) -> DataFrame:
     """Three levels: same day and SKU, then same month and SKU, then store and month."""
     candidates = order_sku_candidates(base)
-    ledger = day_sku_ledger(candidates, demand_daily)
+    # Read for the placing and for what the store still lacks.
+    ledger = materialize(day_sku_ledger(candidates, demand_daily), "hybrid-ledger")
     ranked = rank_in_group(
         candidates, ["store_name", "order_month", "order_date", "sku_key"],
         ["first_purchase_date_utc", "amazon_order_id"],
@@ -194,12 +202,7 @@ def allocate_hybrid(
         .join(store_month, ["store_name", "order_month"])
     )
     by_store = (
-        rank_in_group(
-            rest, ["store_name", "order_month"],
-            ["first_purchase_date_utc", "amazon_order_id", "sku_key", "order_date"],
-            method=store_method,
-        )
-        .filter(F.col("candidate_rank") <= F.col("store_residual"))
+        _first_of_month(rest, "store_residual", store_method)
         .withColumn("level", F.lit(STORE_MONTH))
         .select(*by_sku.columns)
     )

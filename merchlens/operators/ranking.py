@@ -7,6 +7,10 @@ partitioning cuts a large group over many tasks; each row takes its place within
 own partition, and the small table of (group, partition) counts gives the offset to
 add. Both give the same numbers, because the order columns identify a row within its
 group; which one is used does not depend on the data.
+
+``first_in_group`` numbers only the first rows of each group. Counts per group and hour,
+which combine before their shuffle, tell the hour that holds the last row wanted and the
+size of the group; only rows up to that hour are sorted.
 """
 
 from __future__ import annotations
@@ -16,6 +20,8 @@ from pyspark.sql import functions as F
 
 from merchlens.session import materialize
 
+#: Hours since 1970 stand for an instant; rows without one come first, as they are sorted.
+NO_HOUR = -(2**31)
 # monotonically_increasing_id keeps the partition above this bit, the place below.
 PARTITION_SHIFT = 33
 
@@ -67,3 +73,41 @@ def number_by_sort(df: DataFrame, group: list[str], order: list[str], rank: str,
         .withColumn(rank, F.col("_place") - F.col("_first") + 1 + F.col("_before"))
         .select(*df.columns, rank, size)
     )
+
+
+def first_in_group(
+    df: DataFrame,
+    group: list[str],
+    order: list[str],
+    wanted: str,
+    rank: str = "candidate_rank",
+    size: str = "candidate_orders",
+) -> DataFrame:
+    """The first rows of each group, as many as its column ``wanted`` says, numbered as ``rank_in_group`` does.
+
+    ``order`` must be unique within ``group`` and begin with a timestamp; ``wanted`` is one value
+    per group (below one or null: no rows). ``size`` counts all rows of the group. Group columns hold
+    no nulls. However many rows share an hour, or one instant, they are sorted over many tasks.
+    """
+    at = F.col(order[0])
+    hour = F.datediff(at.cast("date"), F.lit("1970-01-01").cast("date")) * 24 + F.hour(at)
+    stored = materialize(df.withColumn("_hour", F.coalesce(hour, F.lit(NO_HOUR))), "rank-candidates")
+    counts = stored.groupBy(*group, "_hour").agg(
+        F.count(F.lit(1)).alias("_rows"), F.max(wanted).alias("_wanted")
+    )
+    # One row per group and hour, so these windows are as small as a month has hours.
+    of_group = Window.partitionBy(*group)
+    before = of_group.orderBy("_hour").rowsBetween(Window.unboundedPreceding, -1)
+    reached = (
+        counts.withColumns({
+            "_before": F.coalesce(F.sum("_rows").over(before), F.lit(0)),
+            size: F.sum("_rows").over(of_group),
+            "_wanted": F.max("_wanted").over(of_group),
+        })
+        .filter("_before < _wanted")
+        .select(*group, "_hour", size)
+    )
+    # Hours reached lead their group, so a row's place among them is its place in the group.
+    near = stored.join(reached, [*group, "_hour"]).select(*df.columns, size)
+    placed = number_by_sort(near, group, order, rank, "_near")
+    return placed.filter(F.col(rank) <= F.col(wanted)).select(*df.columns, rank, size)

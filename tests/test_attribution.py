@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from helpers import frame, orders_frame, rows_of, warehouse
 from merchlens.operators import allocate, audit, base, classify, demand, rollup
-from merchlens.operators.ranking import rank_in_group
+from merchlens.operators.ranking import first_in_group, rank_in_group
 from merchlens.plans.attribution import run_attribution, run_reclassification
 from merchlens.rules import ADS, DAY_SKU, LOW_PRICE, MONTH_SKU, OFFSITE, ONSITE, ORGANIC, RULES, STORE_MONTH
 from merchlens.scope import Scope
@@ -197,6 +197,47 @@ def test_ranking_methods_agree_on_a_hot_group(spark):
         rank_in_group(rows, ["g"], ["o"], method="other")
 
 
+@pytest.mark.parametrize("instants", [1, 7, 900])
+def test_first_rows_of_a_group_are_those_of_the_whole_ranking(spark, instants):
+    # A third of the rows share one group; rows without an instant come first; some groups want none or more than they have.
+    g = F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id") % 40)
+    at = F.make_timestamp_ntz(F.lit(2025), F.lit(3), (F.col("id") % instants % 28 + 1).cast("int"),
+                              (F.col("id") % instants % 24).cast("int"), F.lit(0), F.lit(0))
+    rows = spark.range(900).select(
+        g.alias("g"), F.when(F.col("id") % 11 != 0, at).alias("t"),
+        F.sha2(F.col("id").cast("string"), 256).alias("o"),
+    ).withColumn("k", F.when(F.col("g") == 0, 120).when(F.col("g") < 10, F.col("g") - 2).when(F.col("g") < 30, 4))
+    columns = ["g", "t", "o", "k", "candidate_rank", "candidate_orders"]
+    whole = rank_in_group(rows, ["g"], ["t", "o"], method="window").filter("candidate_rank <= k")
+    first = first_in_group(rows, ["g"], ["t", "o"], "k")
+    assert first.columns == columns
+    assert rows_of(first, *columns) == rows_of(whole, *columns)
+    assert first_in_group(rows.limit(0), ["g"], ["t", "o"], "k").count() == 0
+
+
+def test_only_rows_up_to_the_last_one_wanted_are_sorted(spark, monkeypatch):
+    from merchlens.operators import ranking
+
+    seen = {}
+    kept = ranking.materialize
+
+    def counted(df, label):
+        out = kept(df, label)
+        seen[label] = out.count()
+        return out
+
+    monkeypatch.setattr(ranking, "materialize", counted)
+    start = F.lit("2025-03-01").cast("timestamp_ntz")
+    rows = spark.range(2400).select(
+        F.lit("s").alias("g"), (start + F.make_dt_interval(hours=(F.col("id") / 10).cast("int"))).alias("t"),
+        F.col("id").alias("o"), F.lit(25).alias("k"),
+    )
+    got = first_in_group(rows, ["g"], ["t", "o"], "k")
+    assert rows_of(got, "o", "candidate_rank", "candidate_orders") == sorted(
+        ((i, i + 1, 2400) for i in range(25)), key=lambda r: str(r[0]))
+    assert seen == {"rank-candidates": 2400, "rank-sorted": 30}
+
+
 def performance(spark, rows):
     given = dict(report_month=dt.date(2025, 1, 1), store_name="SY-US", sid=1, order_items=10, ad_order_quantity=1,
                  promotion_order_items=0, volume=1, amount=Decimal(1))
