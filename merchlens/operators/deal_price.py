@@ -92,7 +92,9 @@ def product_dims(product: DataFrame) -> DataFrame:
 def map_styles(msku: DataFrame, listing_best: DataFrame, products: DataFrame) -> DataFrame:
     """MSKU months with principal, style, season, category and the mapping result.
 
-    Both joins come after the order lines are aggregated to MSKU months.
+    Both joins come after the order lines are aggregated to MSKU months. Listings grow with the
+    catalogue and every store, so they are never sent whole to the driver, however small an
+    estimate made before their aggregation says they are.
     """
     listing = listing_best.select(
         F.col("store_key"), F.col("msku_key"), "local_sku", "principal", F.lit(True).alias("has_listing")
@@ -102,7 +104,7 @@ def map_styles(msku: DataFrame, listing_best: DataFrame, products: DataFrame) ->
     )
     found = msku.withColumns({
         "store_key": text.norm("store_name"), "msku_key": text.norm("msku"),
-    }).join(listing, ["store_key", "msku_key"], "left")
+    }).join(listing.hint("merge"), ["store_key", "msku_key"], "left")
     found = found.withColumn("local_key", F.nullif(text.norm("local_sku"), F.lit("")))
     found = found.join(dims, "local_key", "left")
     reason = text.mapping_reason(

@@ -116,7 +116,8 @@ def ad_spend_daily(lines: DataFrame) -> DataFrame:
 def listing(spark: SparkSession, folder: str) -> DataFrame:
     """A listing per store and part, some twice, some with holes, some missing."""
     k = F.col("p_partkey")
-    parts = table(spark, folder, "part").filter(k % 23 != 0).select("p_partkey")
+    # A short file of parts makes many listings: spread over tasks before they are made.
+    parts = table(spark, folder, "part").filter(k % 23 != 0).select("p_partkey").repartition("p_partkey")
     stores = F.array(*[F.lit(n) for n in ("AFRICA-US", "AMERICA-US", "ASIA-US", "EUROPE-US", "MIDDLE EAST-US")])
     copies = F.when(k % 5 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
     rows = parts.withColumn("店铺", F.explode(stores)).withColumn("copy", F.explode(copies))
