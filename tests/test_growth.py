@@ -2,9 +2,12 @@
 
 from pyspark.sql import functions as F
 
-from helpers import orders_frame
+from helpers import orders_frame, report_line, rows_of, warehouse, write_report
 from merchlens.operators import deal_price as dp
+from merchlens.plans import order_import
 from merchlens.scope import Scope
+from merchlens.sources import files
+from merchlens.sources import performance_pages as pages
 from merchlens.sources import star_tables as star
 
 LISTING = "`店铺` string, `店铺id` string, `MSKU` string, `SKU` string, `负责人` string, `状态` int"
@@ -31,3 +34,10 @@ def test_listings_of_one_file_of_parts_are_made_in_many_tasks(spark, tmp_path):
     plan = plan_of(made)
     assert "Exchange" in plan and plan.index("Generate") < plan.index("Exchange")
     assert made.count() == sum(5 * (2 if k % 5 == 0 else 1) for k in range(1, 2001) if k % 23)
+
+
+def test_refused_rows_are_checked_once(spark, tmp_path):
+    path = write_report(tmp_path / "a.txt", [report_line(), report_line(amazon_order_id="")])
+    rejects = order_import.strict_rejects(spark, path)
+    assert "Scan text" not in plan_of(rejects)
+    assert [(r.source_row_no, r.reject_reasons) for r in rejects.collect()] == [(3, ["amazon-order-id is empty"])]
