@@ -36,6 +36,35 @@ def test_listings_of_one_file_of_parts_are_made_in_many_tasks(spark, tmp_path):
     assert made.count() == sum(5 * (2 if k % 5 == 0 else 1) for k in range(1, 2001) if k % 23)
 
 
+def test_numbering_lines_moves_only_counts(spark, tmp_path):
+    for name in "ab":
+        (tmp_path / f"{name}.txt").write_text("one\ntwo\nthree\n")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        numbered = files.text_lines(spark, str(tmp_path), "UTF-8", True)
+        assert "SortMergeJoin" not in plan_of(numbered)
+        assert sorted((r.source_row_no, r.line) for r in numbered.collect()) == [
+            (1, "one"), (1, "one"), (2, "two"), (2, "two"), (3, "three"), (3, "three")]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_lines_of_records_are_read_once(spark, tmp_path):
+    (tmp_path / "a.txt").write_text('h\tk\n1\t"two\nlines"\n\n2\t5" wide\n3\t"a ""b"" c" d\n')
+    records = files.text_records(spark, str(tmp_path / "a.txt"), "UTF-8", "\t", False, 2)
+    assert "Scan text" not in plan_of(records)
+    got = records.withColumn("fields", files.fields_of(F.col("line"), "\t")).orderBy("source_row_no")
+    assert [(r.source_row_no, r.fields) for r in got.collect()] == [
+        (1, ["h", "k"]), (2, ["1", "two\nlines"]), (3, ["2", '5" wide']), (4, ["3", 'a "b" c d'])]
+
+
+def test_fields_are_not_gathered_one_by_one(spark):
+    plan = plan_of(spark.createDataFrame([('"a"\tb',)], "line string").select(
+        files.fields_of(F.col("line"), "\t"), files.end_state(F.col("line"), "\t", True)))
+    assert "aggregate(" not in plan
+
+
 def test_refused_rows_are_checked_once(spark, tmp_path):
     path = write_report(tmp_path / "a.txt", [report_line(), report_line(amazon_order_id="")])
     rejects = order_import.strict_rejects(spark, path)
