@@ -70,3 +70,20 @@ def test_refused_rows_are_checked_once(spark, tmp_path):
     rejects = order_import.strict_rejects(spark, path)
     assert "Scan text" not in plan_of(rejects)
     assert [(r.source_row_no, r.reject_reasons) for r in rejects.collect()] == [(3, ["amazon-order-id is empty"])]
+
+
+def test_new_items_leave_stored_files_alone(spark, tmp_path):
+    wh = warehouse(spark, tmp_path)
+
+    def stored():
+        return set(wh.read(order_import.ORDERS_TABLE).inputFiles())
+
+    def put(*rows):
+        order_import.upsert_orders(wh, orders_frame(spark, list(rows)))
+
+    put(dict(), dict(amazon_order_id="2"))
+    first = stored()
+    put(dict(amazon_order_id="3"))
+    assert first < stored()
+    put(dict(amazon_order_id="3", quantity=7), dict(amazon_order_id="4"))
+    assert rows_of(wh.read(order_import.ORDERS_TABLE), "amazon_order_id", "quantity") == [("1", 1), ("2", 1), ("3", 7), ("4", 1)]
