@@ -87,3 +87,11 @@ def test_new_items_leave_stored_files_alone(spark, tmp_path):
     assert first < stored()
     put(dict(amazon_order_id="3", quantity=7), dict(amazon_order_id="4"))
     assert rows_of(wh.read(order_import.ORDERS_TABLE), "amazon_order_id", "quantity") == [("1", 1), ("2", 1), ("3", 7), ("4", 1)]
+
+
+def test_an_object_is_told_without_its_schema(spark):
+    texts = ["{}", '{"a":1}', "[]", "[1]", "1", '"x"', "null", "true", '{"_":null}']
+    given = spark.createDataFrame([(t,) for t in texts], "t string")
+    told = given.select("t", pages._is_object(F.try_parse_json("t")).alias("is"))
+    assert "schema" not in plan_of(told).lower()
+    assert {r.t for r in told.collect() if r["is"]} == {"{}", '{"a":1}', '{"_":null}'}
