@@ -367,13 +367,14 @@ def typed_values(spark, folder):
 
 @query
 def row_acceptance(spark, folder):
-    rows = derived.report_text(spark, folder)
-    date = convert.to_utc("purchase_text")
-    quantity = convert.to_int_lenient("quantity_text")
+    # Read into columns first: both lists of reasons look at them.
+    rows = derived.report_text(spark, folder).withColumns({
+        "date": convert.to_utc("purchase_text"), "quantity": convert.to_int_lenient("quantity_text"),
+    })
 
     def reasons(keep_zero):
         return order_files.row_rejects(
-            F.col("quantity_text"), quantity, date, F.trim("order_text"), F.trim("sku_text"), keep_zero
+            F.col("quantity_text"), F.col("quantity"), F.col("date"), F.trim("order_text"), F.trim("sku_text"), keep_zero
         )
 
     return rows.select(

@@ -43,7 +43,8 @@ def to_bool(column: Column | str) -> Column:
     return F.when(low.isin(*TRUE_WORDS), F.lit(True)).when(low.isin(*FALSE_WORDS), F.lit(False))
 
 
-OFFSET = r"([+-])(\d{2}):?(\d{2})$"
+# The offset stands behind the first blank or T of the text.
+OFFSET = r"[T ].*([+-]\d{2}:?\d{2})$"
 
 
 def to_utc(column: Column | str) -> Column:
@@ -53,14 +54,12 @@ def to_utc(column: Column | str) -> Column:
     offset is read apart and subtracted. Text without one is already UTC.
     """
     text = strip_or_null(column)
-    clock = F.regexp_extract(text, r"[T ].*$", 0)
-    sign = F.regexp_extract(clock, OFFSET, 1)
-    minutes = (
-        F.coalesce(F.regexp_extract(clock, OFFSET, 2).try_cast("int"), F.lit(0)) * 60
-        + F.coalesce(F.regexp_extract(clock, OFFSET, 3).try_cast("int"), F.lit(0))
-    )
-    signed = F.when(sign == "-", -minutes).otherwise(minutes)
-    return text.try_cast("timestamp_ntz") - F.make_dt_interval(mins=signed)
+    offset = F.regexp_extract(text, OFFSET, 1)
+    # hhmm, and 0000 where there is none: a cast that fails costs more than all the rest.
+    digits = F.lpad(F.translate(offset, "+-:", ""), 4, "0")
+    minutes = F.substring(digits, 1, 2).cast("int") * 60 + F.substring(digits, 3, 2).cast("int")
+    sign = 1 - 2 * F.startswith(offset, F.lit("-")).cast("int")
+    return text.try_cast("timestamp_ntz") - F.make_dt_interval(mins=sign * minutes)
 
 
 def api_int(column: Column | str) -> Column:
@@ -75,5 +74,5 @@ def api_decimal(column: Column | str) -> Column:
 def unreadable(name: str, source: Column | str, value: Column) -> Column:
     """Message for text that is present but did not convert, else null."""
     text = strip(source)
-    return F.when((text != "") & value.isNull(), F.concat(F.lit(f"{name}: "), text))
+    return F.when(value.isNull() & (text != ""), F.concat(F.lit(f"{name}: "), text))
 

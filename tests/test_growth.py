@@ -3,6 +3,8 @@
 from pyspark.sql import functions as F
 
 from helpers import orders_frame, report_line, rows_of, warehouse, write_report
+from checks.queries import QUERIES
+from merchlens.functions import convert
 from merchlens.operators import deal_price as dp
 from merchlens.plans import order_import
 from merchlens.scope import Scope
@@ -95,3 +97,19 @@ def test_an_object_is_told_without_its_schema(spark):
     told = given.select("t", pages._is_object(F.try_parse_json("t")).alias("is"))
     assert "schema" not in plan_of(told).lower()
     assert {r.t for r in told.collect() if r["is"]} == {"{}", '{"a":1}', '{"_":null}'}
+
+
+def test_an_offset_is_read_once_and_never_cast_in_vain(spark):
+    texts = {
+        "2026-01-02T03:04:05-07:00": "2026-01-02 10:04:05", "2026-01-02 03:04:05+0530": "2026-01-01 21:34:05",
+        "2026-01-02T03:04:05Z": "2026-01-02 03:04:05", "2026-01-02": "2026-01-02 00:00:00", "": None, "x T+05:30": None,
+    }
+    read = spark.createDataFrame([(t,) for t in texts], "t string").select("t", convert.to_utc("t").alias("at"))
+    plan = read._jdf.queryExecution().analyzed().toString()
+    assert plan.count(" - make_dt_interval") == 1 and "CASE" not in plan
+    assert {r.t: r["at"] and str(r["at"]) for r in read.collect()} == texts
+
+
+def test_row_checks_read_date_and_quantity_once(spark, folder):
+    plan = QUERIES["row_acceptance"](spark, folder)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("timestamp_ntz") == 1
