@@ -57,6 +57,13 @@ def _stored_lines(spark, folder):
     return materialize(star.order_lines(spark, folder), "order-lines")
 
 
+def _stored_demand(lines):
+    """Daily demand, written once with the columns that allocation and its audit read."""
+    return materialize(_demand_daily(lines).select(
+        "store_name", "order_month", "report_date", "sku_key", "sp_orders", "sd_orders", "ad_orders_raw"
+    ), "demand")
+
+
 def _base(spark, folder):
     return star.base(star.order_lines(spark, folder))
 
@@ -75,7 +82,7 @@ def _result(spark, folder, name):
     if rules.allocator == "store_month":
         chosen = allocate.allocate_store_month(valid, _demand_monthly(lines), rules.version)
     elif rules.allocator == "hybrid":
-        chosen = allocate.allocate_hybrid(valid, materialize(_demand_daily(lines), "demand"), rules.version)
+        chosen = allocate.allocate_hybrid(valid, _stored_demand(lines), rules.version)
     else:
         chosen = allocate.allocate_day_sku(valid, _demand_daily(lines), rules.version)
     return classify.classify(valid, chosen, rules)
@@ -142,7 +149,7 @@ def order_sku_candidates(spark, folder):
 
 def _day_inputs(spark, folder):
     lines = _stored_lines(spark, folder)
-    return star.base(lines), materialize(_demand_daily(lines), "demand")
+    return star.base(lines), _stored_demand(lines)
 
 
 def _month_inputs(spark, folder):

@@ -41,13 +41,13 @@ def _ranked_by_day(base: DataFrame, demand_daily: DataFrame, method: str) -> Dat
     )
 
 
-def day_sku_rank(base: DataFrame, demand_daily: DataFrame, method: str = "sorted") -> DataFrame:
+def day_sku_rank(base: DataFrame, demand_daily: DataFrame, method: str = "sized") -> DataFrame:
     """Candidates on days with demand for their SKU, ranked within store, day and SKU."""
     return _ranked_by_day(base, demand_daily, method).drop("sp_orders", "sd_orders", "ad_orders_raw")
 
 
 def allocate_day_sku(
-    base: DataFrame, demand_daily: DataFrame, version: str = "v1_20260727", method: str = "sorted"
+    base: DataFrame, demand_daily: DataFrame, version: str = "v1_20260727", method: str = "sized"
 ) -> DataFrame:
     """Every candidate of a demanded day-SKU with a flag for those within the demand."""
     return _ranked_by_day(base, demand_daily, method).withColumns({
@@ -152,19 +152,19 @@ def allocate_hybrid(
     base: DataFrame,
     demand_daily: DataFrame,
     version: str = "v2_hybrid_20260727",
-    day_method: str = "sorted",
+    day_method: str = "sized",
     store_method: str = "first",
 ) -> DataFrame:
     """Three levels: same day and SKU, then same month and SKU, then store and month."""
-    candidates = order_sku_candidates(base)
+    # Read for the ledger and for the placing.
+    candidates = materialize(order_sku_candidates(base), "hybrid-candidates")
     # Read for the placing and for what the store still lacks.
     ledger = materialize(day_sku_ledger(candidates, demand_daily), "hybrid-ledger")
-    ranked = rank_in_group(
-        candidates, ["store_name", "order_month", "order_date", "sku_key"],
-        ["first_purchase_date_utc", "amazon_order_id"],
-        rank="day_rank", size="day_size", method=day_method,
+    day = ["store_name", "order_month", "order_date", "sku_key"]
+    placed = rank_in_group(
+        candidates.join(ledger, day), day, ["first_purchase_date_utc", "amazon_order_id"],
+        rank="day_rank", size="day_size", method=day_method, known="day_candidates",
     )
-    placed = ranked.join(ledger, ["store_name", "order_month", "order_date", "sku_key"])
     place_in_rest = F.col("day_rank") - F.col("day_taken") + F.col("rest_before")
     placed = placed.withColumn("month_rank", place_in_rest).withColumn(
         "level",

@@ -8,6 +8,10 @@ own partition, and the small table of (group, partition) counts gives the offset
 add. Both give the same numbers, because the order columns identify a row within its
 group; which one is used does not depend on the data.
 
+``number_by_size`` is for many groups that are small as a rule and of any size at times:
+rows of a group beyond ``WINDOW_ROWS`` go through ``number_by_sort``, all others through
+``number_by_window``. Both ways are always planned; the numbers are the same either way.
+
 ``first_in_group`` numbers only the first rows of each group. Counts per group and hour,
 which combine before their shuffle, tell the hour that holds the last row wanted and the
 size of the group; only rows up to that hour are sorted.
@@ -24,6 +28,8 @@ from merchlens.session import materialize
 NO_HOUR = -(2**31)
 # monotonically_increasing_id keeps the partition above this bit, the place below.
 PARTITION_SHIFT = 33
+#: Rows of a group that one task sorts; more of them are sorted over many tasks.
+WINDOW_ROWS = 100_000
 
 
 def rank_in_group(
@@ -33,15 +39,19 @@ def rank_in_group(
     rank: str = "candidate_rank",
     size: str = "candidate_orders",
     method: str = "sorted",
+    known: str | None = None,
 ) -> DataFrame:
     """Add ``rank`` (1-based, by ``order``) and ``size`` (rows of the group).
 
-    ``order`` must be unique within ``group``. ``method`` is ``window`` or ``sorted``.
+    ``order`` must be unique within ``group``. ``method`` is ``window``, ``sorted`` or ``sized``; ``known``
+    names a column that holds the rows of the group already, which ``sized`` then need not count.
     """
     if method == "window":
         return number_by_window(df, group, order, rank, size)
     if method == "sorted":
         return number_by_sort(df, group, order, rank, size)
+    if method == "sized":
+        return number_by_size(df, group, order, rank, size, known)
     raise ValueError(f"unknown ranking method {method!r}")
 
 
@@ -75,6 +85,23 @@ def number_by_sort(df: DataFrame, group: list[str], order: list[str], rank: str,
     )
 
 
+def number_by_size(
+    df: DataFrame, group: list[str], order: list[str], rank: str, size: str, known: str | None = None
+) -> DataFrame:
+    """As ``number_by_sort`` (rows with a null in ``group`` are left out); only large groups are sorted over many tasks."""
+    whole = df.na.drop(subset=group)
+    if known is not None:
+        few, many = whole.filter(F.col(known) <= WINDOW_ROWS), whole.filter(F.col(known) > WINDOW_ROWS)
+    else:
+        stored = materialize(whole, "rank-rows")
+        large = stored.groupBy(*group).count().filter(F.col("count") > WINDOW_ROWS).select(*group)
+        # One row per WINDOW_ROWS rows at most; stored, as both sides read it.
+        large = F.broadcast(materialize(large, "rank-large"))
+        few, many = stored.join(large, group, "left_anti"), stored.join(large, group, "left_semi")
+    numbered = number_by_window(few, group, order, rank, size)
+    return numbered.unionByName(number_by_sort(many, group, order, rank, size))
+
+
 def first_in_group(
     df: DataFrame,
     group: list[str],

@@ -1,10 +1,14 @@
 """Plans and costs that must not change with the size of a table."""
 
+from inspect import signature
+
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from helpers import orders_frame, report_line, rows_of, warehouse, write_report
 from checks.queries import QUERIES
 from merchlens.functions import convert
+from merchlens.operators import allocate, ranking
 from merchlens.operators import deal_price as dp
 from merchlens.plans import order_import
 from merchlens.scope import Scope
@@ -113,3 +117,23 @@ def test_an_offset_is_read_once_and_never_cast_in_vain(spark):
 def test_row_checks_read_date_and_quantity_once(spark, folder):
     plan = QUERIES["row_acceptance"](spark, folder)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("timestamp_ntz") == 1
+
+
+def test_ranks_of_small_and_large_groups_agree(spark, monkeypatch):
+    rows = [(g, 1 if i % 3 else None, str(i)) for g, n in (("a", 1), ("b", 9), ("c", 4), (None, 3)) for i in range(n)]
+    given = spark.createDataFrame(rows, "g string, at int, id string").repartition(3)
+    known = given.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("g")))
+    monkeypatch.setattr(ranking, "WINDOW_ROWS", 4)
+    want = ranking.rank_in_group(given, ["g"], ["at", "id"], method="sorted")
+    for got in (ranking.rank_in_group(given, ["g"], ["at", "id"], method="sized"),
+                ranking.rank_in_group(known, ["g"], ["at", "id"], method="sized", known="n").drop("n")):
+        assert len(got.collect()) == 14 and got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+
+
+def test_small_groups_are_not_sorted_over_all_tasks(spark, monkeypatch):
+    given = spark.createDataFrame([("a", 1), ("a", 2), ("b", 1)], "g string, at int")
+    sorted_rows = []
+    by_sort = ranking.number_by_sort
+    monkeypatch.setattr(ranking, "number_by_sort", lambda df, *rest: sorted_rows.append(df.count()) or by_sort(df, *rest))
+    assert ranking.rank_in_group(given, ["g"], ["at"], method=signature(allocate.allocate_hybrid).parameters["day_method"].default).count() == 3
+    assert sorted_rows == [0]
