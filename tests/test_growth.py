@@ -137,3 +137,21 @@ def test_small_groups_are_not_sorted_over_all_tasks(spark, monkeypatch):
     monkeypatch.setattr(ranking, "number_by_sort", lambda df, *rest: sorted_rows.append(df.count()) or by_sort(df, *rest))
     assert ranking.rank_in_group(given, ["g"], ["at"], method=signature(allocate.allocate_hybrid).parameters["day_method"].default).count() == 3
     assert sorted_rows == [0]
+
+
+def test_only_items_that_come_again_are_shuffled_whole(spark, tmp_path, monkeypatch):
+    land = tmp_path / "land"
+    land.mkdir()
+    write_report(land / "SY-2025-01.txt", [report_line(amazon_order_id=str(i)) for i in range(5)])
+    write_report(land / "SY-2025-02.txt", [report_line(amazon_order_id="3", quantity="9"), report_line(amazon_order_id="8")])
+    want = [(str(i), 9 if i == 3 else 2, 2 if i == 3 or i == 8 else 1) for i in (0, 1, 2, 3, 4, 8)]
+    whole, by_item = [], order_import.last_per_item
+    monkeypatch.setattr(order_import, "last_per_item", lambda rows: whole.append(rows.count()) or by_item(rows))
+    for limit in (order_import.REPEATED_ITEMS, 0):
+        monkeypatch.setattr(order_import, "REPEATED_ITEMS", limit)
+        wh = warehouse(spark, tmp_path, f"wh{limit}")
+        order_import.import_strict(wh, str(land), {"SY": "SY-US"})
+        stored = wh.read(order_import.ORDERS_TABLE)
+        assert rows_of(stored.withColumn("m", F.month("report_month")), "amazon_order_id", "quantity", "m") == want
+    # Of seven rows the two of one item; then, with too many such items, all.
+    assert whole == [2, 7]
