@@ -53,8 +53,8 @@ def query(build: Query) -> Query:
 # --- shared inputs -----------------------------------------------------------
 
 def _stored_lines(spark, folder):
-    """The raw order table, written once where a query reads it more than once."""
-    return materialize(star.order_lines(spark, folder), "order-lines")
+    """The valid lines of the raw order table, written once where a query reads no others and reads them more than once."""
+    return materialize(base.valid_orders(star.order_lines(spark, folder)), "order-lines")
 
 
 def _stored_demand(lines):
@@ -64,6 +64,11 @@ def _stored_demand(lines):
     ), "demand")
 
 
+def _stored_targets(lines):
+    """Monthly targets, a row per store and month: once they are stored, a join with them leaves the other side where it is."""
+    return materialize(_demand_monthly(lines).select("store_name", "order_month", "ad_order_quantity"), "demand")
+
+
 def _base(spark, folder):
     return star.base(star.order_lines(spark, folder))
 
@@ -80,7 +85,7 @@ def _result(spark, folder, name):
     lines = _stored_lines(spark, folder)
     valid, rules = star.base(lines), R[name]
     if rules.allocator == "store_month":
-        chosen = allocate.allocate_store_month(valid, _demand_monthly(lines), rules.version)
+        chosen = allocate.allocate_store_month(valid, _stored_targets(lines), rules.version)
     elif rules.allocator == "hybrid":
         chosen = allocate.allocate_hybrid(valid, _stored_demand(lines), rules.version)
     else:

@@ -31,12 +31,14 @@ def source_monthly(result: DataFrame, rules: RuleSet) -> DataFrame:
 
     A line counts under its primary source and, when tagged, under the display
     row too. Both come from one pass: the line is repeated per source it counts
-    under, instead of reading the result twice for a union.
+    under, instead of reading the result twice for a union. Lines are dealt to
+    tasks by order, so that of the three steps below only the last, of sums,
+    shuffles again.
     """
     lines = result.select(
         "order_month", "store_name", "main_order_type", "onsite_promotion_flag",
         "amazon_order_id", "sku_key", "quantity", "gross_item_sales", "net_item_sales",
-    )
+    ).repartition("order_month", "store_name", "amazon_order_id")
     if rules.promo_mode == "overlay":
         kinds = F.array_compact(
             F.array("main_order_type", F.when(F.col("onsite_promotion_flag"), F.lit(ONSITE)))

@@ -1,5 +1,6 @@
 """Plans and costs that must not change with the size of a table."""
 
+import datetime as dt
 from inspect import signature
 
 from pyspark.sql import Window
@@ -8,9 +9,11 @@ from pyspark.sql import functions as F
 from helpers import orders_frame, report_line, rows_of, warehouse, write_report
 from checks.queries import QUERIES
 from merchlens.functions import convert
-from merchlens.operators import allocate, ranking
+from merchlens.functions.text import same_text
+from merchlens.operators import allocate, base, classify, ranking, rollup
 from merchlens.operators import deal_price as dp
 from merchlens.plans import order_import
+from merchlens.rules import ONSITE, RULES
 from merchlens.scope import Scope
 from merchlens.sources import files
 from merchlens.sources import performance_pages as pages
@@ -155,3 +158,28 @@ def test_only_items_that_come_again_are_shuffled_whole(spark, tmp_path, monkeypa
         assert rows_of(stored.withColumn("m", F.month("report_month")), "amazon_order_id", "quantity", "m") == want
     # Of seven rows the two of one item; then, with too many such items, all.
     assert whole == [2, 7]
+
+
+def test_rollup_shuffles_lines_once(spark):
+    rows = [dict(amazon_order_id=str(i // 2), order_item_id=str(i), sku=f"sku-{i % 3}", quantity=i + 1,
+                 promotion_ids="PLM-1" if i % 4 == 0 else None) for i in range(12)]
+    valid = base.order_base(orders_frame(spark, [*rows, dict(amazon_order_id=None, sku="x"), dict(order_status="Pending")]))
+    wanted = spark.createDataFrame([("SY-US", dt.date(2025, 1, 1), 3)], "store_name string, order_month date, ad_order_quantity long")
+    result = classify.classify(valid, allocate.allocate_store_month(valid, wanted), RULES["v5"])
+    monthly = rollup.source_monthly(result, RULES["v5"])
+    plan = plan_of(monthly)
+    # After the join with the allocation: the lines by order, then the sums of a source, month and store.
+    assert plan[:plan.index("LeftOuter")].count("Exchange hashpartitioning") == 2
+    got = {r.main_order_type: (r.classified_item_rows, r.order_sku_count, r.amazon_order_count, r.units) for r in monthly.collect()}
+    assert got[ONSITE] == (3, 3, 3, 15)
+    counted = [v for k, v in got.items() if k != ONSITE]
+    # The line without an order counts as a line and in its units, not as an order.
+    assert [sum(x) for x in zip(*counted)][:2] == [13, 12] and sum(v[3] for v in counted) == 79
+
+
+def test_equal_text_needs_no_collation(spark):
+    texts = {"Shipped": True, "shipped": True, "SHIPPED  ": True, " Shipped": False, "Pending": False, None: None}
+    read = spark.createDataFrame([(t,) for t in texts], "t string").select("t", same_text("t", "Shipped").alias("same"))
+    plan = read._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("= Shipped") < plan.index("collate")
+    assert {r.t: r.same for r in read.collect()} == texts
