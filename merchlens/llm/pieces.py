@@ -40,7 +40,7 @@ NORMAL, UNKNOWN, CONTROL, BYTE = 1, 2, 3, 6
 UNKNOWN_SURFACE = " ⁇ "
 #: Text bytes that are taken at a time, units and pairs that a process keeps, and the longest kept unit.
 BLOCK_BYTES = 2 << 20
-KEPT_UNITS, KEPT_PAIRS, KEPT_LENGTH = 80_000, 500_000, 200
+KEPT_UNITS, KEPT_PAIRS, KEPT_LENGTH = 200_000, 500_000, 200
 
 
 def _fields(data: bytes):
@@ -102,11 +102,13 @@ class Pieces:
         self.end = self.names.index("</s>")
         self.rank = {n: -scores[i] for n, i in self.ids.items()}
         self.splits = not any(SPACE in n.lstrip(SPACE) for n in self.ids)
+        # What is known of the pairs that end in a piece, by the token before it; the piece brings it along in a match.
+        self.pairs: dict[int, dict[int, bool]] = {i: {} for i in self.ids.values()}
+        self.kept = 0
         self.automaton = ahocorasick.Automaton()
         for name, i in self.ids.items():
-            self.automaton.add_word(name, (i, len(name)))
+            self.automaton.add_word(name, (i, len(name), self.pairs[i]))
         self.automaton.make_automaton()
-        self.pairs: dict[int, bool] = {}
         # Units of late and of the time before: what comes again and again is never lost.
         self.units: dict[str, bytes] = {}
         self.before: dict[str, bytes] = {}
@@ -139,30 +141,32 @@ class Pieces:
 
     def together(self, left: int, right: int) -> bool:
         """Whether the two tokens stay as they are when their characters are merged (left -1: the text's start)."""
-        key = left * (self.size + 0x110000) + right
-        known = self.pairs.get(key)
+        own = self.pairs.setdefault(right, {})
+        known = own.get(left)
         if known is None:
             tokens = [self._text(t) for t in (left, right) if t >= 0]
             known = self._merged(list("".join(tokens))) == tokens
-            if len(self.pairs) >= KEPT_PAIRS:
-                self.pairs.clear()
-            self.pairs[key] = known
+            if self.kept >= KEPT_PAIRS:
+                for kept in self.pairs.values():
+                    kept.clear()
+                self.kept = 0
+            own[left] = known
+            self.kept += 1
         return known
 
     def _table(self, text: str):
-        """The last token of every prefix of ``text``."""
-        together, pairs, scale = self.together, self.pairs, self.size + 0x110000
-        last = [-1] * len(text) if len(text) <= KEPT_LENGTH else array("i", [-1]) * len(text)
+        """The last token of every prefix of ``text``; behind them -1, which is also what stands before the text."""
+        together, many = self.together, len(text) + 1
+        last = [-1] * many if many <= KEPT_LENGTH else array("i", [-1]) * many
         place = -1  # up to there every prefix has its token
-        for at, (piece, length) in self.automaton.iter(text):
+        for at, (piece, length, own) in self.automaton.iter(text):
             if at == place:
                 continue  # found; other pieces end here too
             while place < at - 1:  # no piece that fits ends there: the character stands for itself
                 place += 1
                 last[place] = self.size + ord(text[place])
-            start = at - length
-            before = last[start] if start >= 0 else -1
-            known = pairs.get(before * scale + piece)
+            before = last[at - length]
+            known = own.get(before)
             if known if known is not None else together(before, piece):
                 last[at] = piece
                 place = at

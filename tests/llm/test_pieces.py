@@ -99,3 +99,21 @@ def test_awkward_rows(spark, library):
     assert pieces.decode(pieces.encode(documents(spark, []))).collect() == []
     nothing = spark.createDataFrame([(1, None)], "doc_id long, ids array<int>")
     assert pieces.decode(nothing).first().decoded == ""
+
+
+def test_known_pairs_come_with_the_match_and_are_bounded(monkeypatch):
+    with open(pieces.VOCABULARY, "rb") as file:
+        made = pieces.Pieces(file.read())
+    texts = pa.array(["some plain words, and others: Thlyouble onntshansh", "x 猫\U0001f408 xx", ""])
+    want = made.encode(texts).to_pylist()
+    assert made.kept == sum(map(len, made.pairs.values())) > 3
+    monkeypatch.setattr(made, "_merged", None)  # nothing is tested twice
+    made.units.clear()
+    assert made.encode(texts).to_pylist() == want
+    monkeypatch.undo()
+    monkeypatch.setattr(pieces, "KEPT_PAIRS", 3)
+    made.units.clear()
+    made.kept = 3
+    made.pairs[made.ids["x"]].clear()
+    assert made.together(-1, made.ids["x"]) and made.kept == sum(map(len, made.pairs.values())) == 1
+    assert made.encode(texts).to_pylist() == want and made.kept <= 3
