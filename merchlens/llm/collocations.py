@@ -13,6 +13,10 @@ a chunk by joining its different words with the numbered ones, so nothing that g
 is broadcast, a word that stands everywhere comes once a chunk, and no Python task holds more
 than a chunk at a time.
 
+Pairs and triples of a chunk are dealt to buckets by their hash and travel packed, one row a chunk and bucket
+(columns of sorted ids, byte by byte, compressed); a bucket sums them and holds some BUCKET_PAIRS whatever the corpus.
+What a bucket tells a chunk about its pairs are their counts, in the order the chunk sent them.
+
 Scores are exact: floor(1,000,000 a^2 / (l r)) in decimals of 38 digits. The first rows of a language
 are taken in pieces before the last ranking.
 
@@ -23,6 +27,8 @@ an empty table gives an empty result.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -40,9 +46,14 @@ SCALE = 1_000_000
 #: Ids on a side of a tile; a tile with this share of its cells in pairs is counted densely.
 TILE = 1024
 DENSE = 1 / 16
-#: Text bytes of a chunk, and pairs that are dealt to tiles at a time.
+#: Text bytes of a chunk, and how many times that a task holds of all languages.
 CHUNK_BYTES = 6 << 20
+HELD = 4
+#: Pairs that are dealt to tiles at a time, and those of a bucket, repeats within a chunk included.
 BLOCK_PAIRS = 4_000_000
+BUCKET_PAIRS = 4_000_000
+#: Bytes from which packed numbers are compressed.
+LONG = 1 << 13
 #: Pieces of a language whose first rows are taken before the last ranking.
 SPREAD = 256
 BREAK = "\n"
@@ -50,6 +61,41 @@ _EXACT = "decimal(38,0)"
 CHUNKS = "chunk long, lang string, n long, words array<string>, counts array<long>, codes binary"
 
 
+def planes(*columns: np.ndarray) -> list[np.ndarray]:
+    """The bytes of whole numbers from 0 on, lowest first, a row each; no more of them than the largest number has."""
+    columns = [np.ascontiguousarray(c, "<i8") for c in columns]
+    widths = [(int(c.max(initial=0)).bit_length() + 7) // 8 for c in columns]
+    return [np.ascontiguousarray(c.view(np.uint8).reshape(-1, 8)[:, :w].T) for c, w in zip(columns, widths, strict=True)]
+
+
+def framed(parts: list[np.ndarray], start: int, end: int) -> bytes:
+    """Numbers ``start`` to ``end`` of ``planes``. What is long is compressed; for short ones that would take longer than all the rest."""
+    data = b"".join([p[:, start:end].tobytes() for p in parts])
+    head = (end - start).to_bytes(8, "little") + bytes([len(data) >= LONG, len(parts), *[len(p) for p in parts]])
+    return head + (pa.compress(data, "zstd", asbytes=True) if len(data) >= LONG else data)
+
+
+def pack(*columns: np.ndarray, ordered: bool = False) -> bytes:
+    """Whole numbers of equal length from 0 on; ``ordered``: the first column never falls."""
+    first = np.diff(columns[0], prepend=0) if ordered else columns[0]
+    return framed(planes(first, *columns[1:]), 0, len(first))
+
+
+def unpack(data: bytes, ordered: bool = False) -> np.ndarray:
+    """The columns of ``pack``, a row each."""
+    size, widths = int.from_bytes(data[:8], "little"), data[10 : 10 + data[9]]
+    start, out = 10 + len(widths), np.zeros((len(widths), size), "<i8")
+    if data[8]:
+        data, start = pa.decompress(data[start:], sum(widths) * size, "zstd", asbytes=True), 0
+    for column, width in zip(out, widths, strict=True):
+        planes = np.frombuffer(data, np.uint8, width * size, start).reshape(width, size)
+        column.view(np.uint8).reshape(-1, 8)[:, :width] = planes.T
+        start += width * size
+    if ordered:
+        out[0] = np.cumsum(out[0])
+    return out
+
+
 def split(texts: pa.Array) -> pa.Array:
     """The words of all ``texts`` in order, with BREAK where a piece or a text ends."""
     lower = pc.ascii_lower(as_array(texts))
@@ -59,15 +105,17 @@ def split(texts: pa.Array) -> pa.Array:
 
 
 def chunks(docs: DataFrame) -> DataFrame:
-    """``docs`` (lang, text) as chunks: ``codes`` (int32) are places in ``words``, -1 ends a piece."""
+    """``docs`` (lang, text) as chunks: ``codes`` (packed) are 1 and up for places in ``words``, 0 ends a piece."""
     def of(batches):
         held: dict[str, list[pa.Array]] = {}
-        number, size = TaskContext.get().partitionId() << 32, 0
+        size: dict[str, int] = {}
+        number = TaskContext.get().partitionId() << 32
 
-        def made():
+        def made(langs):
             nonlocal number
-            for lang in sorted(held):
-                coded = pa.chunked_array([split(t) for t in held[lang]], pa.string()).combine_chunks().dictionary_encode()
+            for lang in langs:
+                size.pop(lang)
+                coded = pa.chunked_array([split(t) for t in held.pop(lang)], pa.string()).combine_chunks().dictionary_encode()
                 if isinstance(coded, pa.ChunkedArray):
                     coded = coded.combine_chunks()
                 words, codes = coded.dictionary, coded.indices.to_numpy()
@@ -77,24 +125,23 @@ def chunks(docs: DataFrame) -> DataFrame:
                 counts, words = np.delete(counts, gap), words.filter(pc.not_equal(words, BREAK))
                 if not len(words):
                     continue
-                rows = [[number], [lang], [int(counts.sum())], [words], [counts], [codes.tobytes()]]
+                rows = [[number], [lang], [int(counts.sum())], [words], [counts], [pack(codes + 1)]]
                 types = [pa.int64(), pa.string(), pa.int64(), pa.list_(pa.string()), pa.list_(pa.int64()), pa.binary()]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(r, t) for r, t in zip(rows, types, strict=True)], ["chunk", "lang", "n", "words", "counts", "codes"]
                 )
                 number += 1
-            held.clear()
 
         for batch in batches:
             for some in blocks(batch, 1, CHUNK_BYTES // 4):
                 langs = some.column(0).dictionary_encode()
                 for code, lang in enumerate(langs.dictionary.to_pylist()):
-                    held.setdefault(lang, []).append(some.column(1).filter(pc.equal(langs.indices, code)))
-                size += pc.sum(pc.binary_length(some.column(1))).as_py() or 0
-                if size >= CHUNK_BYTES:
-                    yield from made()
-                    size = 0
-        yield from made()
+                    texts = some.column(1).filter(pc.equal(langs.indices, code))
+                    held.setdefault(lang, []).append(texts)
+                    size[lang] = size.get(lang, 0) + (pc.sum(pc.binary_length(texts)).as_py() or 0)
+                full = sum(size.values()) >= HELD * CHUNK_BYTES
+                yield from made([lang for lang in sorted(held) if full or size[lang] >= CHUNK_BYTES])
+        yield from made(sorted(held))
 
     return docs.select(
         F.coalesce("lang", F.lit("und")).alias("lang"), F.coalesce("text", F.lit("")).alias("text")
@@ -171,23 +218,19 @@ def often(rows: DataFrame, key: list[str], least: int) -> DataFrame:
 
 
 def with_word_ids(chunked: DataFrame, frequent: DataFrame, vocabulary: DataFrame) -> DataFrame:
-    """(chunk, ids): the ids of a chunk's words in order; -1 stands for the end of a piece and for rare words.
-
-    Ids are as short as the vocabulary allows.
-    """
-    kind = "<i4" if vocabulary.count() < 2**31 else "<i8"
+    """(chunk, ids, many): the ids of a chunk's words in order, packed, from 1; 0 stands for the end of a piece and for rare words."""
     places = frequent.join(vocabulary.select("lang", "word", "id"), ["lang", "word"]).select(F.col("chunk").alias("of"), "place", "id")
 
     def of(key, found, row):
         if not row.num_rows:
-            return pa.table({"chunk": pa.array([], pa.int64()), "ids": pa.array([], pa.binary()), "wide": pa.array([], pa.bool_())})
-        codes = np.frombuffer(row.column("codes")[0].as_buffer(), np.int32)
+            return pa.table({"chunk": pa.array([], pa.int64()), "ids": pa.array([], pa.binary()), "many": pa.array([], pa.int64())})
+        codes = unpack(row.column("codes")[0].as_py())[0] - 1
         ids = np.append(_looked_up(int(codes.max(initial=-1)) + 1, found), -1)[codes]
         ids = ids[(ids >= 0) | (np.append(-1, ids[:-1]) >= 0)]  # one break is enough
-        return pa.table({"chunk": row.column("chunk"), "ids": pa.array([ids.astype(kind).tobytes()], pa.binary()), "wide": pa.array([kind == "<i8"])})
+        return pa.table({"chunk": row.column("chunk"), "ids": pa.array([pack(ids + 1)], pa.binary()), "many": pa.array([len(ids)])})
 
     return places.groupBy("of").cogroup(chunked.select("chunk", "codes").groupBy("chunk")).applyInArrow(
-        of, "chunk long, ids binary, wide boolean"
+        of, "chunk long, ids binary, many long"
     )
 
 
@@ -206,47 +249,128 @@ def different_pairs(ids: np.ndarray) -> tuple[np.ndarray, ...]:
     return i, j, n, which
 
 
-def _ids(value: pa.BinaryScalar, wide: bool) -> np.ndarray:
-    return np.frombuffer(value.as_buffer(), "<i8" if wide else "<i4").astype(np.int64)
-
-
-def pairs_of_chunks(sequences: DataFrame) -> DataFrame:
-    """(i, j, chunk, place, n): the different neighbours of each chunk of ``sequences``."""
+def _ids(data: bytes) -> np.ndarray:
+    return unpack(data)[0] - 1
+
+
+def dealt(buckets: int, *keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``keys`` dealt to buckets by hash: an order that puts a bucket together, the buckets that have some, where each begins and the last ends."""
+    mixed = np.zeros(len(keys[0]), np.uint64)
+    for key in keys:
+        mixed = (mixed ^ key.astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
+        mixed ^= mixed >> np.uint64(32)
+    bucket = (mixed % np.uint64(buckets)).astype(np.int64)
+    order = np.argsort(bucket, kind="stable")
+    bucket = bucket[order]
+    first = np.flatnonzero(np.diff(bucket, prepend=-1))
+    return order, bucket[first], np.append(first, len(bucket))
+
+
+def parcels(buckets: int, counts: np.ndarray, *keys: np.ndarray) -> tuple[list[int], list[bytes]]:
+    """Sorted ``keys`` and their ``counts`` packed by bucket, as by ``pack`` with ``ordered``."""
+    order, bucket, cuts = dealt(buckets, *keys)
+    first, *others = (c[order] for c in (*keys, counts))
+    steps = np.diff(first, prepend=0)
+    steps[cuts[:-1]] = first[cuts[:-1]]
+    parts = planes(steps, *others)
+    return bucket.tolist(), [framed(parts, a, b) for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)]
+
+
+def summed(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of the parcels of a bucket: its different keys (a row a column), their sums, which key stands where, and where each parcel ends."""
+    rows = [unpack(data, ordered=True) for data in column.to_pylist()]
+    ends = np.cumsum([r.shape[1] for r in rows])
+    rows = np.concatenate(rows, axis=1)
+    order = np.lexsort(rows[-2::-1])
+    keys = rows[:-1, order]
+    first = np.append(True, (keys[:, 1:] != keys[:, :-1]).any(axis=0))
+    which = np.empty(len(order), np.int64)
+    which[order] = np.cumsum(first) - 1
+    return keys[:, first], np.add.reduceat(rows[-1][order], np.flatnonzero(first)), which, ends
+
+
+def pairs_of_chunks(sequences: DataFrame, buckets: int) -> DataFrame:
+    """(bucket, chunk, data): the different neighbours of each chunk of ``sequences`` and their counts, packed."""
     def of(batches):
         for batch in batches:
-            for chunk, ids, wide in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist(), strict=True):
-                i, j, n, _ = different_pairs(_ids(ids, wide))
+            for chunk, ids in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                i, j, n, _ = different_pairs(_ids(ids.as_py()))
+                bucket, data = parcels(buckets, n, i, j)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(i), pa.array(j), pa.array(np.full(len(i), chunk)), pa.array(np.arange(len(i), dtype=np.int32)),
-                     pa.array(n.astype(np.int32))], ["i", "j", "chunk", "place", "n"],
+                    [pa.array(bucket, pa.int64()), pa.array([chunk] * len(bucket), pa.int64()), pa.array(data, pa.binary())],
+                    ["bucket", "chunk", "data"],
                 )
 
-    return sequences.select("chunk", "ids", "wide").mapInArrow(of, "i long, j long, chunk long, place int, n int")
+    return sequences.select("chunk", "ids").mapInArrow(of, "bucket long, chunk long, data binary")
 
 
-def triples(sequences: DataFrame, frequent: DataFrame) -> DataFrame:
-    """(i, j, k, n): counts of a frequent pair before a third word, where the last two words are frequent together too.
+def often_pairs(parcelled: DataFrame, least: int) -> DataFrame:
+    """(bucket, chunk, data) of ``pairs_of_chunks``: for each of its pairs, in order, how often it comes in all, 0 for less than ``least``.
 
-    ``frequent``: (chunk, place, f) of the pairs of ``pairs_of_chunks`` that are. The frequent pairs of a chunk are
+    A row without chunk holds the frequent pairs of a bucket and their counts.
+    """
+    def of(rows):
+        keys, f, which, ends = summed(rows.column("data"))
+        good = f >= least
+        if not good.any():
+            return pa.table({"bucket": pa.array([], pa.int64()), "chunk": pa.array([], pa.int64()), "data": pa.array([], pa.binary())})
+        told = np.where(good, f, 0)[which]
+        starts = np.append(0, ends[:-1])
+        some, parts = np.maximum.reduceat(told, starts) > 0, planes(told)
+        data = [framed(parts, a, b) if x else None for x, a, b in zip(some.tolist(), starts.tolist(), ends.tolist(), strict=True)]
+        data = pa.array([*data, pack(*keys[:, good], f[good], ordered=True)], pa.binary())
+        bucket, chunk = rows.column("bucket").to_pylist(), rows.column("chunk").to_pylist()
+        out = pa.table({"bucket": pa.array([*bucket, bucket[0]]), "chunk": pa.array([*chunk, None], pa.int64()), "data": data})
+        return out.filter(pc.is_valid(data))
+
+    return parcelled.groupBy("bucket").applyInArrow(of, "bucket long, chunk long, data binary")
+
+
+def pairs_of(frequent: DataFrame) -> DataFrame:
+    """(i, j, f): the frequent pairs that ``often_pairs`` tells of."""
+    def of(batches):
+        for batch in batches:
+            for data in batch.column(0):
+                columns = unpack(data.as_py(), ordered=True)
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["i", "j", "f"])
+
+    return frequent.filter(F.col("chunk").isNull()).select("data").mapInArrow(of, "i long, j long, f long")
+
+
+def triples(sequences: DataFrame, frequent: DataFrame, buckets: int, least: int) -> DataFrame:
+    """(i, j, k, a): how often a frequent pair stands before a third word, where the last two words are frequent together too; from ``least``.
+
+    ``frequent``: what ``often_pairs`` tells of the pairs of ``pairs_of_chunks``. The frequent pairs of a chunk are
     ranked anew by how frequent they are in all, and with the third word dealt to tiles as words are.
     """
     def of(key, found, row):
-        i, j, k, n = (np.zeros(0, np.int64) for _ in range(4))
+        bucket, data = [], []
         if row.num_rows and found.num_rows:
-            ids = _ids(row.column("ids")[0], row.column("wide")[0].as_py())
+            ids = _ids(row.column("ids")[0].as_py())
             first, second, _, which = different_pairs(ids)
-            place = found.column("place").to_numpy()
-            place = place[np.lexsort((place, -found.column("f").to_numpy()))]
+            order, dealt_to, cuts = dealt(buckets, first, second)
+            f = np.zeros(len(first), np.int64)
+            for at, counts in zip(np.searchsorted(dealt_to, found.column("bucket").to_numpy()).tolist(), found.column("data"), strict=True):
+                f[order[cuts[at] : cuts[at + 1]]] = unpack(counts.as_py())[0]
+            place = np.flatnonzero(f)
+            place = place[np.lexsort((place, -f[place]))]
             rank = np.full(len(first) + 1, -1)
             rank[place] = np.arange(len(place))
             at = rank[which]
             good = (at[:-1] >= 0) & (at[1:] >= 0)
             pair, k, n = count_pairs(at[:-1][good], ids[2:][good])
             i, j = first[place][pair], second[place][pair]
-        return pa.table({"i": pa.array(i), "j": pa.array(j), "k": pa.array(k), "n": pa.array(n)})
+            order = np.lexsort((k, j, i))
+            bucket, data = parcels(buckets, n[order], i[order], j[order], k[order])
+        return pa.table({"bucket": pa.array(bucket, pa.int64()), "data": pa.array(data, pa.binary())})
+
+    def in_all(rows):
+        keys, a, _, _ = summed(rows.column("data"))
+        return pa.table([*keys[:, a >= least], a[a >= least]], names=["i", "j", "k", "a"])
 
-    places = frequent.select(F.col("chunk").alias("of"), "place", "f")
-    return places.groupBy("of").cogroup(sequences.groupBy("chunk")).applyInArrow(of, "i long, j long, k long, n long")
+    told = frequent.filter(F.col("chunk").isNotNull()).select(F.col("chunk").alias("of"), "bucket", "data")
+    counted = told.groupBy("of").cogroup(sequences.select("chunk", "ids").groupBy("chunk")).applyInArrow(of, "bucket long, data binary")
+    return counted.groupBy("bucket").applyInArrow(in_all, "i long, j long, k long, a long")
 
 
 def score(a, left, right):
@@ -265,9 +389,12 @@ def collocations(docs: DataFrame, least: int = LEAST, share: int = SHARE, first:
     words = numbered(frequent.select("lang", "word", "f").distinct(), F.col("f").desc(), "lang", "word")
     sequences = store(with_word_ids(chunked, frequent, words), "phrase-ids")
 
-    frequent = store(often(pairs_of_chunks(sequences), ["i", "j"], least), "phrase-pairs")
-    pairs = frequent.select("i", "j", "f").distinct()
-    three = triples(sequences, frequent).groupBy("i", "j", "k").agg(F.sum("n").alias("a")).filter(F.col("a") >= least)
+    # More tasks than buckets would find nothing to do.
+    many = sequences.agg(F.coalesce(F.sum("many"), F.lit(0))).first()[0]
+    buckets = max(math.ceil(many / BUCKET_PAIRS), int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    frequent = store(often_pairs(pairs_of_chunks(sequences, buckets), least), "phrase-pairs")
+    pairs = pairs_of(frequent)
+    three = triples(sequences, frequent, buckets, least)
 
     def word(name, *more):
         return words.select(F.col("id").alias(name), F.col("word").alias(f"{name}_word"), F.col("f").alias(f"{name}_f"), *more)

@@ -101,6 +101,55 @@ def test_different_pairs_of_blocks_are_merged(monkeypatch):
         assert (k < 0) == (min(ids[at : at + 2]) < 0) and (k < 0 or pairs[k] == tuple(ids[at : at + 2].tolist()))
 
 
+@pytest.mark.parametrize("long", [0, 1 << 13])
+def test_packed_numbers_come_back(monkeypatch, long):
+    monkeypatch.setattr(collocations, "LONG", long)
+    random = np.random.default_rng(5)
+    for size in (0, 1, 300, 5000):
+        first = np.sort(random.integers(0, 1 << 40, size))
+        columns = [first, random.integers(0, 300, size), np.zeros(size, int), random.integers(0, 1 << 62, size)]
+        assert np.array_equal(collocations.unpack(collocations.pack(*columns, ordered=True), ordered=True), np.stack(columns))
+        assert np.array_equal(collocations.unpack(collocations.pack(*columns[::-1])), np.stack(columns[::-1]))
+
+
+@pytest.mark.parametrize("buckets", [1, 7, 500])
+def test_buckets_sum_and_tell_every_chunk(monkeypatch, buckets):
+    monkeypatch.setattr(collocations, "LONG", 200)
+    random, sent, total = np.random.default_rng(6), [], Counter()
+    for chunk in range(4):
+        i, j, n = collocations.different_pairs(random.zipf(1.4, 900) % 50)[:3]
+        total.update({(a, b): c for a, b, c in zip(i.tolist(), j.tolist(), n.tolist(), strict=True)})
+        order, _, cuts = collocations.dealt(buckets, i, j)
+        bucket, data = collocations.parcels(buckets, n, i, j)
+        sent += [(b, chunk, d, i[order][a:z], j[order][a:z]) for b, d, a, z in zip(bucket, data, cuts[:-1], cuts[1:], strict=True)]
+    got = {}
+    for bucket in {b for b, *_ in sent}:
+        own = [x for x in sent if x[0] == bucket]
+        keys, f, which, ends = collocations.summed(pa.chunked_array([pa.array([x[2] for x in own])]))
+        got |= {(a, b): c for a, b, c in zip(*keys.tolist(), f.tolist(), strict=True)}
+        for (_, _, _, i, j), told in zip(own, np.split(f[which], ends[:-1]), strict=True):
+            assert told.tolist() == [total[pair] for pair in zip(i.tolist(), j.tolist(), strict=True)]
+    assert got == total
+
+
+def test_small_buckets_give_the_same_phrases(spark, monkeypatch):
+    monkeypatch.setattr(collocations, "CHUNK_BYTES", 900)
+    monkeypatch.setattr(collocations, "BUCKET_PAIRS", 40)
+    rows = made(3, 80)
+    docs = spark.createDataFrame([(t, lang) for _, t, lang in rows], "text string, lang string").repartition(3)
+    assert rows_of(collocations.collocations(docs, least=3)) == brute([(lang, t) for _, t, lang in rows], 3)
+
+
+def test_pairs_travel_packed(spark, tmp_path):
+    """A chunk's pairs take a few bytes each on disk, not a row each."""
+    ids = np.random.default_rng(7).zipf(1.2, 200_000) % 50_000
+    many = len(set(zip(ids[:-1].tolist(), ids[1:].tolist(), strict=True)))
+    sequences = spark.createDataFrame([(c, collocations.pack(ids + 1)) for c in range(3)], "chunk long, ids binary")
+    sent = collocations.pairs_of_chunks(sequences, 5)
+    assert sent.count() == 3 * 5
+    assert sent.agg(F.sum(F.length("data"))).first()[0] < 3 * many * 6
+
+
 def test_words(spark):
     assert collocations.split(pa.array(["A b.c\td", None, "", "e"])).to_pylist() == ["a", "b", "\n", "c", "d", "\n", "\n", "\n", "e", "\n"]
 
