@@ -1,15 +1,16 @@
 """Work, memory and disk of the imports that must not grow faster than their files."""
 
+import csv
 import datetime as dt
+import io
 import os
 
 import pytest
-from pyspark.sql import functions as F
 
 from helpers import report_line, rows_of, warehouse, write_report
 from merchlens.plans import order_import as oi
 from merchlens.schemas import ORDER_HEADERS
-from merchlens.session import materialize, passing, scratch_root
+from merchlens.session import LEAN, lean, materialize, passing, scratch_root
 from merchlens.sources import order_files
 
 MAP = {"SY": "SY-US"}
@@ -90,3 +91,45 @@ def test_scopes_delete_what_was_made_within(spark):
             kept = materialize(gone, "kept")
         assert kept.count() == 3 and {x.split("-")[0] for x in left_over(spark) - before} == {"kept"}
     assert left_over(spark) == before
+
+
+def test_records_over_lines_are_read_without_a_shuffle_or_a_copy_of_the_text(spark, tmp_path):
+    src = tmp_path / "in"
+    src.mkdir()
+    write_report(src / "SY2501.txt", [report_line(order_item_id=str(i), product_name='"two\nlines"') for i in range(30)])
+    before = left_over(spark)
+    raw = order_files.read_strict(spark, str(src))
+    assert "Exchange" not in raw._jdf.queryExecution().executedPlan().toString()
+    assert left_over(spark) == before
+    assert rows_of(raw, "`product-name`") == [("two\nlines",)] * 30
+    wh = warehouse(spark, tmp_path)
+    log = oi.import_strict(wh, str(src), MAP)
+    assert rows_of(log, "total_rows", "status") == [(30, "success")]
+    assert {x.split("-")[0] for x in left_over(spark) - before} == {"import"}
+
+
+def test_records_may_lie_over_many_batches_and_blocks(spark, tmp_path):
+    text = "id\tsku\n" + "".join(f'{i}\t"a{i}\n\nb\t""c"" {"x" * (i % 50)}\n"\n\n{i}x\tplain 5" {i}\n' for i in range(300))
+    path = tmp_path / "SY2607.txt"
+    path.write_text("﻿" + text)
+    want = [(r[0], r[1].strip()) for r in list(csv.reader(io.StringIO(text, newline=""), delimiter="\t"))[1:] if r]
+    settings = {"spark.sql.files.maxPartitionBytes": "900", "spark.sql.files.openCostInBytes": "10", "spark.sql.execution.arrow.maxRecordsPerBatch": "7"}
+    for some in ({}, {k: settings[k] for k in list(settings)[:2]}, {"spark.sql.execution.arrow.maxRecordsPerBatch": "7"}, settings):
+        before = {k: spark.conf.get(k) for k in some}
+        for k, v in some.items():
+            spark.conf.set(k, v)
+        try:
+            got = order_files.read_monthly(spark, str(path))[0].collect()
+        finally:
+            for k, v in before.items():
+                spark.conf.set(k, v)
+        assert sorted((r.source_row_no, r.id, r.sku) for r in got) == [(i, *w) for i, w in enumerate(want, 2)]
+
+
+def test_settings_are_those_of_before_after_an_import(spark, tmp_path):
+    before = {k: spark.conf.get(k) for k in LEAN}
+    with lean(spark):
+        assert {k: spark.conf.get(k) for k in LEAN} == LEAN != before
+    with pytest.raises(oi.ImportRefused):
+        oi.import_monthly(warehouse(spark, tmp_path), write_monthly(tmp_path / "x.txt", []))
+    assert {k: spark.conf.get(k) for k in LEAN} == before
