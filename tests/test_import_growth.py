@@ -6,9 +6,12 @@ import io
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
+from checks import derived
 from helpers import report_line, rows_of, warehouse, write_report
 from merchlens.plans import order_import as oi
+from merchlens.plans import performance_import
 from merchlens.schemas import ORDER_HEADERS
 from merchlens.session import LEAN, lean, materialize, passing, scratch_root
 from merchlens.sources import order_files
@@ -133,3 +136,31 @@ def test_settings_are_those_of_before_after_an_import(spark, tmp_path):
     with pytest.raises(oi.ImportRefused):
         oi.import_monthly(warehouse(spark, tmp_path), write_monthly(tmp_path / "x.txt", []))
     assert {k: spark.conf.get(k) for k in LEAN} == before
+
+
+def pages_frame(spark, rows):
+    body = '{{"code": "0", "data": {{"total": 1, "list": [{{"msku": "{0}", "volume": "{1}"}}]}}}}'
+    return spark.createDataFrame(
+        [(MONTH, sid, "SY-US", 1, body.format(msku, volume)) for sid, msku, volume in rows],
+        "report_month date, sid bigint, store_name string, page int, body string",
+    )
+
+
+def test_a_performance_import_leaves_its_log_only_and_touches_its_months_only(spark, tmp_path):
+    wh = warehouse(spark, tmp_path)
+    before = left_over(spark)
+    for force, rows in ((False, [(1, "a", 1), (2, "b", 2)]), (True, [(2, "c", 3), (None, "d", 4)]), (False, [(2, "e", 5)])):
+        performance_import.import_performance(wh, pages_frame(spark, rows), MONTH, force=force)
+    assert {x.rsplit("-", 1)[0] for x in left_over(spark) - before} == {"performance-log"}
+    assert rows_of(wh.read(performance_import.TABLE), "sid", "msku", "volume") == [(1, "a", 1), (2, "c", 3)]
+    assert rows_of(wh.read(performance_import.LOG_TABLE), "sid", "written_rows") == [(1, 1), (2, 1), (None, 0)]
+
+
+def test_reports_are_written_by_store_without_a_sort(spark, tmp_path, monkeypatch):
+    lines = spark.createDataFrame([(s, i) for i in range(20) for s in ("A", "B", None)], "store string, n int")
+    monkeypatch.setattr(derived, "STORES", ["A", "B", "C"])
+    derived._write_text(derived._by_store(lines, ["A", "B"]), str(tmp_path / "out"))
+    parts = {p.parent.name: p for p in (tmp_path / "out").rglob("*.txt")}
+    assert {k: len(p.read_text().splitlines()) - 1 for k, p in parts.items()} == {"store=A": 20, "store=B": 20, "store=__HIVE_DEFAULT_PARTITION__": 20}
+    placed = derived._by_store(lines, ["A", "B"]).select(F.spark_partition_id().alias("p"), "store").distinct().collect()
+    assert {r.store: r.p for r in placed} == {"A": 0, "B": 1, None: 1}
