@@ -96,15 +96,17 @@ def test_scopes_delete_what_was_made_within(spark):
     assert left_over(spark) == before
 
 
-def test_records_over_lines_are_read_without_a_shuffle_or_a_copy_of_the_text(spark, tmp_path):
+def test_records_over_lines_are_read_without_a_shuffle_and_kept_no_longer_than_needed(spark, tmp_path):
     src = tmp_path / "in"
     src.mkdir()
     write_report(src / "SY2501.txt", [report_line(order_item_id=str(i), product_name='"two\nlines"') for i in range(30)])
     before = left_over(spark)
-    raw = order_files.read_strict(spark, str(src))
-    assert "Exchange" not in raw._jdf.queryExecution().executedPlan().toString()
+    with passing(spark):
+        raw = order_files.read_strict(spark, str(src))
+        assert "Exchange" not in raw._jdf.queryExecution().executedPlan().toString()
+        assert {x.rsplit("-", 1)[0] for x in left_over(spark) - before} == {"text-records"}
+        assert rows_of(raw, "`product-name`") == [("two\nlines",)] * 30
     assert left_over(spark) == before
-    assert rows_of(raw, "`product-name`") == [("two\nlines",)] * 30
     wh = warehouse(spark, tmp_path)
     log = oi.import_strict(wh, str(src), MAP)
     assert rows_of(log, "total_rows", "status") == [(30, "success")]
