@@ -4,8 +4,11 @@ import csv
 import datetime as dt
 import io
 import os
+import subprocess
+import sys
 
 import pytest
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from checks import derived
@@ -14,7 +17,7 @@ from merchlens.plans import order_import as oi
 from merchlens.plans import performance_import
 from merchlens.schemas import ORDER_HEADERS
 from merchlens.session import LEAN, lean, materialize, passing, scratch_root
-from merchlens.sources import order_files
+from merchlens.sources import files, order_files
 
 MAP = {"SY": "SY-US"}
 MONTH = dt.date(2026, 7, 1)
@@ -166,3 +169,11 @@ def test_reports_are_written_by_store_without_a_sort(spark, tmp_path, monkeypatc
     assert {k: len(p.read_text().splitlines()) - 1 for k, p in parts.items()} == {"store=A": 20, "store=B": 20, "store=__HIVE_DEFAULT_PARTITION__": 20}
     placed = derived._by_store(lines, ["A", "B"]).select(F.spark_partition_id().alias("p"), "store").distinct().collect()
     assert {r.store: r.p for r in placed} == {"A": 0, "B": 1, None: 1}
+
+
+def test_workers_need_not_find_the_package(tmp_path):
+    for made in (files._block_maps(True), files._block_records({}, True, 5)):
+        (tmp_path / "f").write_bytes(cloudpickle.dumps(made))
+        code = "import pickle, sys; print(list(pickle.load(open(sys.argv[1], 'rb'))(iter([]))), [m for m in sys.modules if 'merchlens' in m])"
+        done = subprocess.run([sys.executable, "-c", code, str(tmp_path / "f")], cwd="/", env={}, capture_output=True, text=True)
+        assert done.stdout.strip() == "[] []", done.stderr
